@@ -16,6 +16,12 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
+# a store's zones of the base and the promotional list
+BASE_ZONE = """CASE WHEN s_acctbal < -500 THEN 'OUTREGF'
+                    ELSE substr(r_name, 1, 3) || 'REG' || CASE WHEN s_suppkey % 2 = 0 THEN 'F' ELSE 'A' END END"""
+PROMO_ZONE = """CASE WHEN s_acctbal > 9500 THEN NULL
+                    ELSE ' P' || substr(r_name, 1, 3) || CASE WHEN s_suppkey % 3 = 0 THEN 'F ' ELSE 'A' END END"""
+
 FIXTURES = {
     # products: duplicated codes, blank keys, technical and missing groups, local numbers
     "product_raw": """
@@ -122,12 +128,12 @@ FIXTURES = {
                    AS longitude,
                CAST(CAST(n_regionkey + 0.5 AS DECIMAL(13,6)) AS STRING) AS latitude,
                CASE WHEN s_acctbal < 0 THEN 'ZAMKNIETE' WHEN s_acctbal > 9000 THEN NULL ELSE 'OTWARTE' END AS class,
-               CASE WHEN s_acctbal < -500 THEN 'OUTREGF'
-                    ELSE substr(r_name, 1, 3) || 'REG' || CASE WHEN s_suppkey % 2 = 0 THEN 'F' ELSE 'A' END END
-                   AS first_price,
-               CASE WHEN s_acctbal > 9500 THEN NULL
-                    ELSE ' P' || substr(r_name, 1, 3) || CASE WHEN s_suppkey % 3 = 0 THEN 'F ' ELSE 'A' END END
-                   AS actual_price,
+               """
+    + BASE_ZONE
+    + """ AS first_price,
+               """
+    + PROMO_ZONE
+    + """ AS actual_price,
                nullif(r_name, 'ASIA') AS segment,
                CASE WHEN s_suppkey % 3 = 0 THEN NULL ELSE '2001-0' || CAST(1 + s_suppkey % 9 AS STRING) || '-15' END
                    AS opening_date,
@@ -158,13 +164,17 @@ FIXTURES = {
                     WHEN l_linenumber % 3 = 1 THEN d || ' 00:00:00'
                     ELSE substr(d, 9, 2) || '.' || substr(d, 6, 2) || '.' || substr(d, 1, 4) END AS price_date,
                ' ' || CAST(l_partkey AS STRING) || ' ' AS product_agg_level_code,
-               CASE l_linestatus WHEN 'F' THEN first_price ELSE actual_price END AS store_agg_level_code,
+               CASE l_linestatus WHEN 'F' THEN """
+    + BASE_ZONE
+    + """ ELSE """
+    + PROMO_ZONE
+    + """ END AS store_agg_level_code,
                CASE WHEN l_quantity = 1 THEN '0,00'
                     ELSE replace(CAST(CAST(l_extendedprice AS DECIMAL(13,2)) AS STRING), '.', ',') END AS price_with_tax,
                CASE WHEN l_suppkey % 5 = 0 THEN 'EUR' ELSE 'PLN' END AS currency
         FROM (SELECT *, CAST(CAST(date_trunc('month', l_shipdate) AS DATE) AS STRING) AS d FROM {lineitem}) AS l
         JOIN {supplier} ON l_suppkey = s_suppkey
-        JOIN {store_raw} ON store_description = 'Store ' || s_name
+        JOIN {nation} ON s_nationkey = n_nationkey JOIN {region} ON n_regionkey = r_regionkey
     """,
     "base_raw": """
         SELECT price_date, product_agg_level_code, store_agg_level_code, price_with_tax, currency

@@ -2,7 +2,8 @@
 
 from pyspark.sql import functions as F
 
-from retailprep.operators.enrich import keep_known
+from retailprep.operators.attributes import group_sizes
+from retailprep.operators.enrich import broadcast_if_small, keep_known, since, stack
 from retailprep.operators.keys import lowest_by
 from retailprep.operators.temporal import accumulate, asof_join, price_fallback
 from retailprep.plans import price, sales
@@ -66,13 +67,14 @@ OUT = """SELECT name, external_id, price_type_id, currency_code, market_code, pr
     strftime(start_date, '%Y-%m-%d 00:00:00') AS start_date, strftime(end_date, '%Y-%m-%d 00:00:00') AS end_date,
     priority FROM """
 
-CLEAN = with_clause("base_raw", "retail_raw", "sku_dictionary", more=clean_sql("clean") + "," + SERVED)
+CLEAN = with_clause("base_raw", "retail_raw", "store_raw", "sku_dictionary", more=clean_sql("clean") + "," + SERVED)
 CURRENT = CLEAN.rstrip() + "," + current_sql("lowest", "clean") + "\n"
 FEED = CURRENT.rstrip() + "," + feed_sql("feed", "lowest") + "\n"
 DELTA = (
     with_clause(
         "base_raw",
         "retail_raw",
+        "store_raw",
         "base_old",
         "retail_old",
         "sku_dictionary",
@@ -96,13 +98,12 @@ def full_feed(t, **options):
 
 
 def cleaned(t):
-    from retailprep.operators.enrich import stack
-
     return price.price_clean(stack({"base": t.base_raw, "retail": t.retail_raw}))
 
 
 def current(t, base, retail):
-    return price.current_prices(base, retail, t.store_raw, t.sku_dictionary)
+    served = broadcast_if_small(price.served_zones(t.store_raw))
+    return price.current_prices(base, retail, served, t.sku_dictionary)
 
 
 PRICE_COLUMNS = "source, product_code, zone, start_date, value, currency_code"
@@ -110,8 +111,6 @@ PRICE_COLUMNS = "source, product_code, zone, start_date, value, currency_code"
 
 @query("price_clean", CLEAN + f"SELECT {PRICE_COLUMNS} FROM clean WHERE start_date >= DATE '1996-01-01'")
 def _(t):
-    from retailprep.operators.enrich import since
-
     return since(cleaned(t), "start_date", "1996-01-01").select(*PRICE_COLUMNS.split(", "))
 
 
@@ -129,8 +128,6 @@ def _(t):
     CLEAN + "SELECT source, zone, count(DISTINCT store_code) AS stores FROM served_all GROUP BY source, zone",
 )
 def _(t):
-    from retailprep.operators.attributes import group_sizes
-
     return group_sizes(price.zone_stores(t.store_raw), ["source", "zone"], "store_code", "stores")
 
 
@@ -148,7 +145,7 @@ def _(t):
     CLEAN + f"SELECT {PRICE_COLUMNS} FROM clean c WHERE (source, zone) IN (SELECT (source, zone) FROM served)",
 )
 def _(t):
-    served = price.served_zones(t.store_raw)
+    served = broadcast_if_small(price.served_zones(t.store_raw))
     return keep_known(cleaned(t), served, ["source", "zone"]).select(*PRICE_COLUMNS.split(", "))
 
 
@@ -286,6 +283,7 @@ def _asof_sql(name: str, source: str, price_name: str, zone: str) -> str:
     with_clause(
         "base_raw",
         "retail_raw",
+        "store_raw",
         "sales_raw",
         more=clean_sql("clean")
         + f""",

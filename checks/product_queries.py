@@ -80,7 +80,9 @@ def known(t):
 
 
 def feed(t, **options):
-    return product.product_feed(t.product_raw, t.uda_raw, t.uda_def, active(t), ATTRIBUTES, **options)
+    return product.product_feed(
+        t.product_raw, t.uda_raw, t.uda_def, active(t), ATTRIBUTES, settled=True, **options
+    )
 
 
 @query(
@@ -336,5 +338,5 @@ def _(t):
         SELECT "check", "column", level, rows, {SHARE} FROM lines""",
 )
 def _(t):
-    enriched, _ = product.enriched_products(t.product_raw, t.uda_raw, t.uda_def, active(t), ATTRIBUTES)
+    enriched, _ = product.enriched_products(t.product_raw, t.uda_raw, t.uda_def, active(t), ATTRIBUTES, settled=True)
     return product.department_report(enriched)

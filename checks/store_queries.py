@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from retailprep.functions import COUNTRY_NAMES
+from retailprep.functions import COUNTRY_NAMES, blank_to_null, map_value
 from retailprep.operators.attributes import hierarchy
 from retailprep.operators.enrich import fill_from, lookup_fill, override
 from retailprep.operators.quality import match_rate
@@ -113,8 +113,6 @@ def _(t):
     with_clause("store_raw", more=LEVELS) + f"SELECT store_description, {LEVEL_COLUMNS} FROM levels",
 )
 def _(t):
-    from retailprep.functions import blank_to_null, map_value
-
     stores = store.store_base(t.store_raw)
     levels = [
         map_value("country", COUNTRY_NAMES),

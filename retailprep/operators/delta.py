@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .enrich import new_rows
+
 
 def delta(
     full: DataFrame,
@@ -32,7 +34,7 @@ def delta(
 
 def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
     """``updates`` plus the rows of ``base`` they do not replace; ``updates`` must be unique by key."""
-    untouched = base.join(updates.select(*keys), list(keys), "left_anti")
+    untouched = new_rows(base, updates, keys)
     return untouched.select(*base.columns).unionByName(updates.select(*base.columns))
 
 

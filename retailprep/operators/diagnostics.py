@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .enrich import keep_known
+
 
 def error_trend(errors: DataFrame, code: str, key: str, day: str) -> DataFrame:
     """Errors per code and day: rows, keys, first-time keys, keys so far, keys seen for the last time.
@@ -66,8 +68,8 @@ def inactive_variants(
 ) -> DataFrame:
     """Inactive variants of active parents; with ``moving``, only those with stock in movement."""
     off = variants.filter(F.coalesce(F.col(active), F.lit(0)) != 1)
-    out = off.join(parents.filter(F.col(active) == 1).select(parent), parent, "left_semi")
-    return out if moving is None else out.join(moving.select(variant), variant, "left_semi")
+    out = keep_known(off, parents.filter(F.col(active) == 1), [parent])
+    return out if moving is None else keep_known(out, moving, [variant])
 
 
 def profile_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:

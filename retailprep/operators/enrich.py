@@ -2,8 +2,9 @@
 
 Joins carry no unchecked broadcast hints: Spark broadcasts a side whose size it
 knows to be below ``spark.sql.autoBroadcastJoinThreshold``, and otherwise
-shuffles, with AQE splitting the left side of a hot key.  Looked-up sides have
-one row per key, so no join multiplies rows.
+shuffles, with AQE splitting the left side of a hot key.  Looked-up sides are
+reduced to one row per key first, map-side before they are shuffled: no join
+multiplies rows, and a key repeated in a lookup does not pile up in one task.
 """
 
 from __future__ import annotations
@@ -22,13 +23,20 @@ from .keys import distinct_keys
 BROADCAST_ROWS = 100_000
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether the frame has at most ``max_rows`` rows; counts no further than that.
+
+    The count is a job of its own, so the frame should be cheap to compute.
+    """
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame with a broadcast hint if a bounded count proves it small, else as it is.
+    """The frame with a broadcast hint if a count proves it small, else as it is.
 
     For derived lookups (zones, price lists) whose size Spark cannot estimate.
-    The count is a job of its own, so the frame should be cheap to compute.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def exclude_value(df: DataFrame, column: str, value: str, null_safe: bool = False) -> DataFrame:
@@ -55,21 +63,21 @@ def only(df: DataFrame, column: str, values: Sequence[str] | DataFrame | None =
 
 
 def keep_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows whose key is in ``known``; duplicates there do no harm."""
-    return df.join(known.select(*keys), list(keys), "left_semi")
+    """Rows whose key is in ``known``."""
+    return df.join(distinct_keys(known, *keys), list(keys), "left_semi")
 
 
 def new_rows(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``known``; a NULL key is never known."""
-    return df.join(known.select(*keys), list(keys), "left_anti")
+    return df.join(distinct_keys(known, *keys), list(keys), "left_anti")
 
 
 def active_keys(key: str, *sources: DataFrame) -> DataFrame:
     """Distinct non-NULL keys of all sources."""
-    stacked = distinct_keys(sources[0], key)
+    stacked = sources[0].select(key)
     for source in sources[1:]:
         stacked = stacked.unionByName(source.select(key))
-    return stacked.filter(F.col(key).isNotNull()).distinct()
+    return distinct_keys(stacked.filter(F.col(key).isNotNull()), key)
 
 
 def keep_active(df: DataFrame, active: DataFrame, key: str, flag: str = "is_active") -> DataFrame:

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .enrich import broadcast_if_small, new_rows
+
 FACTOR = "decimal(18,6)"
 
 
@@ -18,7 +20,11 @@ def conversion_table(conversions: DataFrame) -> DataFrame:
     marks a direction with contradicting factors.
     """
     there = conversions.select(
-        "group", "from_unit", "to_unit", F.lit(1).cast(FACTOR).alias("multiply"), F.col("factor").cast(FACTOR).alias("divide")
+        "group",
+        "from_unit",
+        "to_unit",
+        F.lit(1).cast(FACTOR).alias("multiply"),
+        F.col("factor").cast(FACTOR).alias("divide"),
     )
     back = conversions.select(
         "group",
@@ -55,10 +61,11 @@ def convert_units(
     ``stock`` has product_code and unit, ``products`` has product_code,
     sales_unit and group (unique by code).  Adds ``sales_unit``, ``converted``
     and ``status``: same, converted, ambiguous, missing or unknown_product.
-    An ambiguous or missing conversion leaves the amount NULL.
+    An ambiguous or missing conversion leaves the amount NULL.  Most products may
+    share one group, so the conversions are broadcast where a count allows it.
     """
     master = products.select("product_code", "sales_unit", F.col("group").alias("__group"))
-    table = conversion_table(conversions).select(
+    table = broadcast_if_small(conversion_table(conversions)).select(
         F.col("group").alias("__group"),
         F.col("from_unit").alias("unit"),
         F.col("to_unit").alias("sales_unit"),
@@ -92,10 +99,10 @@ def missing_conversions(
         stock.join(products.select("product_code", "sales_unit", "group"), "product_code")
         .filter(F.col("unit") != F.col("sales_unit"))
     )
-    table = conversion_table(conversions).select(
+    table = broadcast_if_small(conversion_table(conversions)).select(
         "group", F.col("from_unit").alias("unit"), F.col("to_unit").alias("sales_unit")
     )
-    gaps = needed.join(table, ["group", "unit", "sales_unit"], "left_anti")
+    gaps = new_rows(needed, table, ["group", "unit", "sales_unit"])
     # per product first, so that the distinct count needs no second pass over the rows
     per_product = gaps.groupBy(*context, "unit", "sales_unit", "product_code").agg(F.count(F.lit(1)).alias("n"))
     return per_product.groupBy(*context, "unit", "sales_unit").agg(

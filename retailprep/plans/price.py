@@ -12,11 +12,11 @@ from pyspark.sql.window import Window
 from ..functions.retail import CLOSED
 from ..functions.text import DATE_FORMATS, map_value, parse_date, parse_decimal, strip_last
 from ..operators.delta import delta
-from ..operators.enrich import BROADCAST_ROWS, broadcast_if_small, exclude_value, keep_known, only, since, stack
+from ..operators.enrich import exclude_value, is_small, keep_known, only, since, stack
 from ..operators.keys import distinct_keys
+from ..operators.schema import check_columns
 from ..operators.temporal import lowest_value, validity
 from ..sources.read import find_column, first_column
-from ..operators.schema import check_columns
 
 REQUIRED = ("store_agg_level_code", "product_agg_level_code", "price_date", "price_with_tax")
 VALUE = (15, 2)
@@ -80,24 +80,22 @@ def price_clean(raw: DataFrame, min_date: dt.date | str | None = None) -> DataFr
 def current_prices(
     base: DataFrame,
     retail: DataFrame,
-    stores: DataFrame,
+    served: DataFrame,
     products: DataFrame,
-    zones: Sequence[str] | None = None,
     min_date: dt.date | str | None = None,
     currency: str | None = None,
 ) -> DataFrame:
     """Lowest price per source, market zone, product and day.
 
-    Only known products in zones that have an open store count.  Zones that
-    differ in their last letter share a market zone, and the lowest of their
-    prices wins.  ``currency`` overrides the currency of the input.
+    Only known products in ``served`` zones (see ``served_zones``) count.  Zones
+    that differ in their last letter share a market zone, and the lowest of
+    their prices wins.  ``currency`` overrides the currency of the input.
 
     Products are checked after the aggregation, where a product has at most one
     row per list and day; Catalyst moves the check below it if it can broadcast.
     """
     raw = stack({"base": base, "retail": retail})
     known = products.select(F.trim(first_column(products, "product_code", "code")).alias("product_code"))
-    served = broadcast_if_small(served_zones(stores, zones))
     prices = keep_known(price_clean(raw, min_date), served, ["source", "zone"])
     prices = prices.withColumn("market_code", strip_last("zone"))
     keys = ["source", "market_code", "product_code", "start_date"]
@@ -120,9 +118,10 @@ def with_priority(prices: DataFrame, few_lists: bool = False) -> DataFrame:
     names may be broadcast.
     """
     named = prices.withColumn("name", F.concat(map_value("source", LIST_PREFIX), F.col("market_code")))
-    # always true, but it keeps the value in this branch, so Spark reuses the shuffle of the prices
+    # the filter is always true; it keeps the value in this branch, so that both read one shuffle of the prices
     ranked = rank_names(named.filter(F.col("value") > 0), "name")
-    return named.join(F.broadcast(ranked) if few_lists else ranked, "name")
+    # every name has a rank; an inner join would push a null check on the built name down to the scan
+    return named.join(F.broadcast(ranked) if few_lists else ranked, "name", "left")
 
 
 def price_feed(
@@ -140,11 +139,12 @@ def price_feed(
     A price is valid until the day before the product's next one in the list.
     Priorities rank all lists, also for a delta.
     """
-    prices = current_prices(base, retail, stores, products, zones, min_date, currency)
+    served = served_zones(stores, zones)
+    few = is_small(served)
+    prices = current_prices(base, retail, F.broadcast(served) if few else served, products, min_date, currency)
     dated = validity(prices, ["source", "market_code", "product_code"], "start_date")
     # every list comes from a served zone, so their number bounds the lists
-    few = served_zones(stores, zones).limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    full = with_priority(dated, few).select(
+    full = with_priority(dated, few_lists=few).select(
         "name",
         F.col("name").alias("external_id"),
         map_value("source", PRICE_TYPE).alias("price_type_id"),

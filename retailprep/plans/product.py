@@ -194,7 +194,7 @@ def catalogue_stats(raw: DataFrame, active: DataFrame, known: DataFrame) -> Data
     """
     df = require_keys(raw, ["product_code"])
     flags = {
-        "active": active.select("product_code", F.lit(1).alias("active")),
+        "active": active.select("product_code").distinct().withColumn("active", F.lit(1)),
         "known": known.select("product_code").distinct().withColumn("known", F.lit(1)),
     }
     # one row per product before the joins: a code with very many rows shrinks map-side

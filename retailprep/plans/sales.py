@@ -9,6 +9,7 @@ this package's choice.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from ..operators.temporal import asof_join, price_fallback
 
 REQUIRED = ("store_code", "product_code", "sale_date", "quantity", "value")
 MONEY = "decimal(13,2)"
+PRICED_BY = ("product_code", "first_price", "actual_price", "sale_date")
 
 
 def sign_returns(df: DataFrame, is_return: Column, columns: Sequence[str]) -> DataFrame:
@@ -29,6 +31,24 @@ def sign_returns(df: DataFrame, is_return: Column, columns: Sequence[str]) -> Da
     return df.withColumns({c: signed(c, is_return) for c in columns})
 
 
+def _zone_prices(sold: DataFrame, base: DataFrame, retail: DataFrame) -> DataFrame:
+    """Both prices per distinct product, pair of zones and day.
+
+    Looking prices up here, not per sale, shuffles the sales once instead of once per list.
+    """
+    out = sold.select(*PRICED_BY).distinct()
+    for zone, quotes, price in (("first_price", base, "price_base"), ("actual_price", retail, "price_promo")):
+        day = f"{price}_date"
+        lists = quotes.select(
+            "product_code",
+            F.col("zone").alias(zone),
+            F.col("start_date").alias(day),
+            F.col("value").alias(price),
+        )
+        out = asof_join(out, lists, ["product_code", zone], "sale_date", day, [price])
+    return out.select(*[F.col(c).alias(f"__{c}") for c in PRICED_BY], "price_base", "price_promo")
+
+
 def sales_feed(
     sales: DataFrame,
     stores: DataFrame,
@@ -46,7 +66,12 @@ def sales_feed(
     check_columns(sales, REQUIRED, "sales")
     order = [F.col(c).asc_nulls_last() for c in ("country", "first_price", "actual_price")]
     zones = first_rows(
-        stores.select("store_code", "country", F.trim("first_price").alias("first_price"), F.trim("actual_price").alias("actual_price")),
+        stores.select(
+            "store_code",
+            "country",
+            F.trim("first_price").alias("first_price"),
+            F.trim("actual_price").alias("actual_price"),
+        ),
         ["store_code"],
         order,
     )
@@ -56,12 +81,11 @@ def sales_feed(
         typed["sale_date"] = parse_date("sale_date", DATE_FORMATS)
     sold = sign_returns(sales.withColumns(typed), is_return, ["quantity", "value"])
     sold = sold.select(*keys, *REQUIRED).join(broadcast_if_small(zones), "store_code", "left")
-    priced = sold
-    for zone, quotes, price in (("first_price", base, "price_base"), ("actual_price", retail, "price_promo")):
-        lists = quotes.select(
-            "product_code", F.col("zone").alias(zone), F.col("start_date").alias(f"{price}_date"), F.col("value").alias(price)
-        )
-        priced = asof_join(priced, lists, ["product_code", zone], "sale_date", f"{price}_date", [price])
+    priced = sold.join(
+        _zone_prices(sold, base, retail),
+        reduce(lambda x, y: x & y, [sold[c].eqNullSafe(F.col(f"__{c}")) for c in PRICED_BY]),
+        "left",
+    )
     unit_price = F.try_divide(F.abs("value"), F.abs("quantity"))
     return priced.select(
         *keys,
