@@ -63,6 +63,17 @@ def conform(df: DataFrame, spec: Spec, extra: Sequence[Column] = ()) -> DataFram
     return df.select(*out, *extra)
 
 
+def select_parsed(df: DataFrame, columns: Sequence[Column | str], parsed: Mapping[str, Column]) -> DataFrame:
+    """Select ``columns`` and add ``parsed`` ones that are evaluated once per row.
+
+    A later filter on an ordinary computed column moves below its projection and
+    computes it a second time; filters do not move below a generator.  Worth it
+    for costly parsing of text that is filtered on right away.
+    """
+    values = F.struct(*[value.alias(name) for name, value in parsed.items()])
+    return df.select(*columns, F.inline(F.array(values)))
+
+
 def clean_name(name: str) -> str:
     """Lower-case name of letters, digits and single inner underscores."""
     return re.sub(r"[^a-z0-9]+", "_", re.sub(r"[^a-zA-Z0-9]", "_", str(name)).lower()).strip("_")

@@ -14,7 +14,7 @@ from ..functions.text import DATE_FORMATS, map_value, parse_date, parse_decimal,
 from ..operators.delta import delta
 from ..operators.enrich import exclude_value, is_small, keep_known, only, since, stack
 from ..operators.keys import distinct_keys
-from ..operators.schema import check_columns
+from ..operators.schema import check_columns, select_parsed
 from ..operators.temporal import lowest_value, validity
 from ..sources.read import find_column, first_column
 
@@ -65,14 +65,17 @@ def price_clean(raw: DataFrame, min_date: dt.date | str | None = None) -> DataFr
     """Readable positive prices: product, zone, day, value, currency."""
     df = check_columns(raw, REQUIRED, "price")
     currency = F.col("currency") if find_column(df, "currency") else F.lit(None).cast("string")
-    clean = df.select(
+    columns = [
         F.trim("product_agg_level_code").alias("product_code"),
         F.trim("store_agg_level_code").alias("zone"),
-        parse_date("price_date", DATE_FORMATS).alias("start_date"),
-        parse_decimal("price_with_tax", *VALUE, strict=True).alias("value"),
         currency.alias("currency_code"),
         *([F.col("source")] if find_column(df, "source") else []),
-    )
+    ]
+    parsed = {
+        "start_date": parse_date("price_date", DATE_FORMATS),
+        "value": parse_decimal("price_with_tax", *VALUE, strict=True),
+    }
+    clean = select_parsed(df, columns, parsed)
     clean = clean.filter((F.col("value") > 0) & F.col("start_date").isNotNull())
     return since(clean, "start_date", min_date)
 
