@@ -64,17 +64,17 @@ def group_sizes(df: DataFrame, groups: Sequence[str], member: str, name: str = "
 def _tuples(df: DataFrame, parent: str, columns: Sequence[str]) -> DataFrame:
     # one row per distinct combination: a parent with very many children shrinks map-side
     known = df.filter(F.col(parent).isNotNull())
-    return known.groupBy(parent, *columns).agg(F.count(F.lit(1)).alias("__n"))
+    return known.groupBy(parent, *columns).agg(F.count(F.lit(1)).alias("__children"))
 
 
 def _votes(df: DataFrame, parent: str, columns: Sequence[str]) -> DataFrame:
     """(parent, index of the column, value, number of children) for non-NULL values."""
     texts = F.array(*[F.col(c).cast("string") for c in columns])
-    cells = _tuples(df, parent, columns).select(parent, "__n", F.posexplode(texts).alias("__c", "__value"))
+    cells = _tuples(df, parent, columns).select(parent, "__children", F.posexplode(texts).alias("__c", "__value"))
     return (
         cells.filter(F.col("__value").isNotNull())
         .groupBy(parent, "__c", "__value")
-        .agg(F.sum("__n").alias("__n"))
+        .agg(F.sum("__children").alias("__children"))
     )
 
 
@@ -96,27 +96,28 @@ def consensus(df: DataFrame, parent: str, columns: Sequence[str], as_tuple: bool
     """
     typed = dict(df.dtypes)
     if as_tuple:
-        rank = F.struct((-F.col("__n")).alias("__n"), *[F.col(c).alias(f"__{c}") for c in columns])
+        values = [F.col(c).alias(f"v{i}") for i, c in enumerate(columns)]
+        rank = F.struct((-F.col("__children")).alias("n"), *values)
         best = _tuples(df, parent, columns).groupBy(parent).agg(F.min(rank).alias("__best"))
         joined = df.join(best, parent, "left")
         picked = {
-            c: F.when(F.col("__best").isNotNull(), F.col(f"__best.__{c}")).otherwise(F.col(c))
-            for c in columns
+            c: F.when(F.col("__best").isNotNull(), F.col(f"__best.v{i}")).otherwise(F.col(c))
+            for i, c in enumerate(columns)
         }
         return joined.withColumns(picked).drop("__best")
 
     votes = _votes(df, parent, columns)
-    rank = F.struct((-F.col("__n")).alias("n"), F.col("__value").alias("value"))
+    rank = F.struct((-F.col("__children")).alias("n"), F.col("__value").alias("value"))
     best = votes.groupBy(parent).agg(
-        *[F.min(F.when(F.col("__c") == i, rank))["value"].alias(f"__{c}") for i, c in enumerate(columns)]
+        *[F.min(F.when(F.col("__c") == i, rank))["value"].alias(f"__best{i}") for i in range(len(columns))]
     )
     # counting over the same votes lets Spark reuse their shuffle for this one-row subquery
-    per_cell = votes.groupBy(parent, "__c").agg(F.count("__value").alias("values"), F.sum("__n").alias("n"))
+    per_cell = votes.groupBy(parent, "__c").agg(F.count("__value").alias("values"), F.sum("__children").alias("n"))
     conflict = per_cell.agg(F.max((F.col("values") > 1) & (F.col("n") > 0)).alias("any")).scalar()
     joined = df.join(best, parent, "left")
     settled = {
-        c: F.when(conflict, F.coalesce(F.col(f"__{c}").try_cast(typed[c]), F.col(c))).otherwise(F.col(c))
-        for c in columns
+        c: F.when(conflict, F.coalesce(F.col(f"__best{i}").try_cast(typed[c]), F.col(c))).otherwise(F.col(c))
+        for i, c in enumerate(columns)
     }
-    return joined.withColumns(settled).drop(*[f"__{c}" for c in columns])
+    return joined.withColumns(settled).drop(*[f"__best{i}" for i in range(len(columns))])
 

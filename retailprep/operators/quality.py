@@ -153,11 +153,18 @@ def match_rate(df: DataFrame, column: str) -> DataFrame:
 
 
 def store_stats(stores: DataFrame, country: str, active: str, closed: str, online: str) -> DataFrame:
-    """One row: all stores, active and closed ones among the physical, online ones."""
+    """One row: all stores, active and closed ones among the physical, online ones.
+
+    A count of flags that are NULL throughout is NULL.
+    """
     physical = F.col(country) != online
+
+    def flagged(flag: str) -> Column:
+        return F.sum(F.when(F.col(flag).isNotNull(), F.when(physical & (F.col(flag) == 1), 1).otherwise(0)))
+
     return stores.agg(
         F.count(F.lit(1)).alias("total"),
-        F.count_if(physical & (F.col(active) == 1)).alias("active"),
-        F.count_if(physical & (F.col(closed) == 1)).alias("closed"),
+        flagged(active).alias("active"),
+        flagged(closed).alias("closed"),
         F.count_if(F.col(country) == online).alias("online"),
     )

@@ -42,7 +42,7 @@ def import_stores(
         calendar_rows = optional(lambda: read_feed(spark, calendar, schema=ddl), ddl, spark)
     feed = store.store_feed(raw, community_rows, calendar_rows, force_active)
     publish(feed, full, sample, mode, sample_order=["external_id"], order_by=["external_id"])
-    return {"quality": store.store_report(raw), "totals": store.store_totals(raw)}
+    return {"quality": store.store_report(raw), "totals": store.store_totals(raw, force_active)}
 
 
 def known_products(spark: SparkSession, dictionary: str) -> DataFrame:

@@ -83,8 +83,13 @@ def store_base(
     raw: DataFrame,
     communities: DataFrame | None = None,
     calendar: DataFrame | None = None,
+    force_active: Sequence[str] | DataFrame = (),
 ) -> DataFrame:
-    """Stores with a key, community and dates filled in and the country normalised, online ones included."""
+    """Stores with a key, filled in, normalised and flagged, online ones included.
+
+    Stores listed in ``force_active`` are active and open whatever their class;
+    without classes there are no flags.
+    """
     df = require_keys(check_columns(raw, REQUIRED, "store"), ["store_code"])
     df = with_columns_or_null(df, ["country", "segment", "building_type"])
     if communities is not None:
@@ -102,7 +107,10 @@ def store_base(
         # a store without a class is neither active nor closed
         flags["is_active"] = flag_differs("class", CLOSED)
         flags["is_closed"] = flag_equals("class", CLOSED)
-    return df.withColumns(flags)
+    df = df.withColumns(flags)
+    if "is_active" not in flags:
+        return df
+    return override(df, "store_code", force_active, {"is_active": 1, "is_closed": 0})
 
 
 def store_feed(
@@ -111,13 +119,8 @@ def store_feed(
     calendar: DataFrame | None = None,
     force_active: Sequence[str] | DataFrame = (),
 ) -> DataFrame:
-    """The store feed: physical stores with flags, market zone and a four-level hierarchy.
-
-    Stores listed in ``force_active`` are active and open whatever their class.
-    """
-    df = exclude_value(store_base(raw, communities, calendar), "country", ONLINE)
-    if find_column(df, "is_active"):
-        df = override(df, "store_code", force_active, {"is_active": 1, "is_closed": 0})
+    """The store feed: physical stores with flags, market zone and a four-level hierarchy."""
+    df = exclude_value(store_base(raw, communities, calendar, force_active), "country", ONLINE)
     levels = [
         map_value("country", COUNTRY_NAMES),
         blank_to_null("segment"),
@@ -134,6 +137,8 @@ def store_report(raw: DataFrame) -> DataFrame:
     return quality_report(df, [blank_check("store_code"), no_country])
 
 
-def store_totals(raw: DataFrame) -> DataFrame:
-    """Total, active, closed and online stores."""
-    return store_stats(store_base(raw), "country", "is_active", "is_closed", ONLINE)
+def store_totals(raw: DataFrame, force_active: Sequence[str] | DataFrame = ()) -> DataFrame:
+    """Total, active, closed and online stores; active and closed are NULL without classes."""
+    stores = store_base(raw, force_active=force_active)
+    stores = with_columns_or_null(stores, ["is_active", "is_closed"], "int")
+    return store_stats(stores, "country", "is_active", "is_closed", ONLINE)
