@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.codes import path_code
 from ..sources.read import find_column
+from .enrich import splittable
 
 
 def pivot_attributes(
@@ -32,7 +33,7 @@ def pivot_attributes(
 
 
 def join_attributes(df: DataFrame, pivoted: DataFrame, key: str) -> DataFrame:
-    """Left-join pivoted attributes; a column the frame already has is not replaced."""
+    """Left-join pivoted attributes (one row per key); a column the frame already has is not replaced."""
     clashes = [c for c in pivoted.columns if c != key and find_column(df, c) is not None]
     return df.join(pivoted.drop(*clashes), key, "left")
 
@@ -99,7 +100,7 @@ def consensus(df: DataFrame, parent: str, columns: Sequence[str], as_tuple: bool
         values = [F.col(c).alias(f"v{i}") for i, c in enumerate(columns)]
         rank = F.struct((-F.col("__children")).alias("n"), *values)
         best = _tuples(df, parent, columns).groupBy(parent).agg(F.min(rank).alias("__best"))
-        joined = df.join(best, parent, "left")
+        joined = df.join(splittable(best), parent, "left")
         picked = {
             c: F.when(F.col("__best").isNotNull(), F.col(f"__best.v{i}")).otherwise(F.col(c))
             for i, c in enumerate(columns)
@@ -111,13 +112,12 @@ def consensus(df: DataFrame, parent: str, columns: Sequence[str], as_tuple: bool
     best = votes.groupBy(parent).agg(
         *[F.min(F.when(F.col("__c") == i, rank))["value"].alias(f"__best{i}") for i in range(len(columns))]
     )
-    # counting over the same votes lets Spark reuse their shuffle for this one-row subquery
+    # one value for the whole frame; counting over the same votes lets Spark reuse their shuffle
     per_cell = votes.groupBy(parent, "__c").agg(F.count("__value").alias("values"), F.sum("__children").alias("n"))
     conflict = per_cell.agg(F.max((F.col("values") > 1) & (F.col("n") > 0)).alias("any")).scalar()
-    joined = df.join(best, parent, "left")
+    joined = df.join(splittable(best.filter(conflict)), parent, "left")
     settled = {
-        c: F.when(conflict, F.coalesce(F.col(f"__best{i}").try_cast(typed[c]), F.col(c))).otherwise(F.col(c))
-        for i, c in enumerate(columns)
+        c: F.coalesce(F.col(f"__best{i}").try_cast(typed[c]), F.col(c)) for i, c in enumerate(columns)
     }
     return joined.withColumns(settled).drop(*[f"__best{i}" for i in range(len(columns))])
 

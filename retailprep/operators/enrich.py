@@ -5,6 +5,7 @@ knows to be below ``spark.sql.autoBroadcastJoinThreshold``, and otherwise
 shuffles, with AQE splitting the left side of a hot key.  Looked-up sides are
 reduced to one row per key first, map-side before they are shuffled: no join
 multiplies rows, and a key repeated in a lookup does not pile up in one task.
+``splittable`` then keeps such a lookup from hindering the split.
 """
 
 from __future__ import annotations
@@ -39,6 +40,17 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
+def splittable(lookup: DataFrame) -> DataFrame:
+    """A lookup whose join AQE may split when the other side has a hot key.
+
+    AQE splits a join only if both sides were shuffled for it.  A lookup that
+    was just aggregated by the join keys is not shuffled again, which pins the
+    other side to its partitions.  Coalescing to more parts than there can be
+    moves no rows but drops the known partitioning.
+    """
+    return lookup.coalesce(1_000_000)
+
+
 def exclude_value(df: DataFrame, column: str, value: str, null_safe: bool = False) -> DataFrame:
     """Rows that differ from ``value``.
 
@@ -64,12 +76,12 @@ def only(df: DataFrame, column: str, values: Sequence[str] | DataFrame | None =
 
 def keep_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is in ``known``."""
-    return df.join(distinct_keys(known, *keys), list(keys), "left_semi")
+    return df.join(splittable(distinct_keys(known, *keys)), list(keys), "left_semi")
 
 
 def new_rows(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``known``; a NULL key is never known."""
-    return df.join(distinct_keys(known, *keys), list(keys), "left_anti")
+    return df.join(splittable(distinct_keys(known, *keys)), list(keys), "left_anti")
 
 
 def active_keys(key: str, *sources: DataFrame) -> DataFrame:
@@ -110,13 +122,13 @@ def lookup_fill(
         .groupBy("__key")
         .agg(F.min(column).alias(column))
     )
-    return df.join(lookup, F.trim(df[key]) == F.col("__key"), "left").drop("__key")
+    return df.join(splittable(lookup), F.trim(df[key]) == F.col("__key"), "left").drop("__key")
 
 
 def fill_from(df: DataFrame, ref: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Fill gaps in ``columns`` from ``ref`` (one row per key); own values win."""
     lookup = ref.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in columns])
-    joined = df.join(lookup, df[key] == F.col("__key"), "left")
+    joined = df.join(splittable(lookup), df[key] == F.col("__key"), "left")
     filled = {}
     for c in columns:
         own = find_column(df, c)
@@ -137,7 +149,7 @@ def override(
     if isinstance(keys, DataFrame):
         listed = keys.select(F.col(keys.columns[0]).alias("__key")).distinct()
         hit: Column = F.col("__key").isNotNull()
-        df = df.join(listed, F.col(key) == F.col("__key"), "left")
+        df = df.join(splittable(listed), F.col(key) == F.col("__key"), "left")
     else:
         hit = F.col(key).isin(list(keys)) if keys else F.lit(False)
     out = df.withColumns({c: F.when(hit, F.lit(v)).otherwise(F.col(c)) for c, v in values.items()})

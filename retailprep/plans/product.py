@@ -103,9 +103,9 @@ def active_catalogue(raw: DataFrame, active: DataFrame) -> DataFrame:
     """
     df = require_keys(check_columns(raw, REQUIRED, "product"), ["product_code"])
     df = exclude_value(df, "product_group_1_code", TECHNICAL_GROUP)
-    df = keep_active(df, active, "product_code")
-    rest = [F.col(c).asc_nulls_last() for c in df.columns if c not in ("product_code", "is_active")]
-    return dedupe(df, ["product_code"], rest)
+    rest = [F.col(c).asc_nulls_last() for c in df.columns if c != "product_code"]
+    # a code with very many rows shrinks before the join; Catalyst joins first if it can broadcast
+    return keep_active(dedupe(df, ["product_code"], rest), active, "product_code")
 
 
 def with_level5(df: DataFrame) -> DataFrame:
@@ -135,14 +135,10 @@ def enriched_products(
     optional = [*NUMBERS, "product_group_4_description"]
     products = with_columns_or_null(products, optional)
     pivoted = pivot_attributes(
-        keep_known(attributes, active, ["product_code"]),
-        definitions,
-        "product_code",
-        "uda_code",
-        "uda_description",
-        "uda_value",
-        attribute_names,
+        attributes, definitions, "product_code", "uda_code", "uda_description", "uda_value", attribute_names
     )
+    # before the pivot if Catalyst can broadcast the active codes
+    pivoted = keep_known(pivoted, active, ["product_code"])
     names = [c for c in pivoted.columns if c != "product_code" and find_column(products, c) is None]
     df = join_attributes(products, pivoted, "product_code")
     changes = {c: parse_decimal(c, *NUMBERS[c]) for c in NUMBERS}
