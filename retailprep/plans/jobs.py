@@ -15,7 +15,7 @@ from ..operators.enrich import active_keys
 from ..operators.quality import check_not_empty, duplicate_keys
 from ..operators.schema import check_columns
 from ..session import settle
-from ..sources.read import first_column, optional, read_dictionary, read_feed, read_latest
+from ..sources.read import find_column, first_column, optional, read_dictionary, read_feed, read_latest
 from ..sources.write import publish
 from . import price, product, sales, stock, store
 
@@ -70,6 +70,8 @@ def import_products(
     mode: str = "FULL",
 ) -> Reports:
     """``kind`` DELTA publishes only products the dictionary does not have; ``year`` dates the season report."""
+    if kind not in ("FULL", "DELTA"):
+        raise ValueError(f"unknown kind {kind!r}, expected FULL or DELTA")
     raw = check_not_empty(check_columns(read_feed(spark, products), product.REQUIRED, "product"), "product")
     code = "product_code string"
     sources = [read_feed(spark, warehouse, sep="|").select("product_code")]
@@ -78,24 +80,21 @@ def import_products(
         sources.append(latest.select("product_code"))
     known = known_products(spark, dictionary)
     active = settle(active_keys("product_code", *sources, known))
-    feed = product.product_feed(
-        raw,
-        read_feed(spark, attributes),
-        read_feed(spark, definitions),
-        active,
-        known=known if kind == "DELTA" else None,
-        settled=True,
+    enriched, names = product.enriched_products(
+        raw, read_feed(spark, attributes), read_feed(spark, definitions), active, settled=True
     )
+    feed = product.product_output(enriched, names, known if kind == "DELTA" else None)
     order = ["parent_product_code", "external_id"]
     publish(feed, full, sample, mode, sample_order=order, order_by=order)
-    catalogue = product.active_catalogue(raw, active)
     reports = {
         "quality": product.product_report(raw),
         "stats": product.catalogue_stats(raw, active, known),
         "duplicates": duplicate_keys(raw, ["product_code", "size_code"]),
     }
-    if "season" in catalogue.columns:
-        reports["seasons"] = product.season_stats(catalogue, known, year)
+    if find_column(enriched, "season"):
+        reports["seasons"] = product.season_stats(enriched, known, year)
+    if find_column(enriched, "storedepartment"):
+        reports["departments"] = product.department_report(enriched)
     return reports
 
 

@@ -165,6 +165,11 @@ def product_feed(
 ) -> DataFrame:
     """The product feed; with ``known`` (product_code) only products not delivered before (DELTA)."""
     df, names = enriched_products(raw, attributes, definitions, active, attribute_names, settled)
+    return product_output(df, names, known)
+
+
+def product_output(df: DataFrame, names: Sequence[str], known: DataFrame | None = None) -> DataFrame:
+    """Enriched products in the feed's columns, followed by the attributes ``names``; only new ones with ``known``."""
     if known is not None:
         df = new_rows(df, known, ["product_code"])
     return conform(df, PRODUCT, attribute_columns(df, names, PRODUCT.columns))

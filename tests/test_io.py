@@ -5,7 +5,7 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from retailprep.session import scratch_path, settle, shared_dir
+from retailprep.session import scale_settings, scratch_path, settle, shared_dir
 from retailprep.sources import (
     column_or_null,
     file_manifest,
@@ -151,3 +151,11 @@ def test_settled_frames_are_read_from_the_shared_folder(spark):
     settled = settle(df)
     assert rows(settled) == rows(settled)
     assert all(shared_dir(spark).split(":")[-1] in path for path in settled.inputFiles())
+
+
+def test_settings_follow_the_input():
+    assert scale_settings(10**9) == {"spark.sql.shuffle.partitions": "200"}
+    assert scale_settings(100 * 1024**4) == {
+        "spark.sql.shuffle.partitions": "51200",
+        "spark.sql.files.maxPartitionBytes": "512m",
+    }

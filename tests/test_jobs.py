@@ -155,6 +155,7 @@ def test_products(spark, put, tmp_path):
     }
     assert report(reports["duplicates"].filter("product_code = '3'")) == [("3", "L", 2)]
     assert report(reports["seasons"]) == [("SS22", 2022, True, 1), ("SS26", 2026, False, 1)]
+    assert ("no_department", "store_department", "WARN", 2, Decimal("66.667")) in report(reports["departments"])
     delta = str(tmp_path / "delta")
     jobs.import_products(*arguments, delta, kind="DELTA")
     assert sorted(r["code"] for r in records(read_feed(spark, delta))) == ["1", "2"]
