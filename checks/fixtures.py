@@ -291,12 +291,23 @@ def _needs(sql: str) -> list[str]:
     return list(dict.fromkeys(name for _, name, _, _ in string.Formatter().parse(sql) if name))
 
 
-def frame(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table or a fixture over the tables in ``sf_dir``."""
-    if name in TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    sql = FIXTURES[name]
-    return spark.sql(sql, **{n: frame(spark, sf_dir, n) for n in _needs(sql)})
+class Frames:
+    """Given tables and fixtures of one data folder by name, each looked up once."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
+        self.sf_dir = sf_dir
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name in TABLES:
+            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        elif name in FIXTURES:
+            sql = FIXTURES[name]
+            df = self.spark.sql(sql, **{n: getattr(self, n) for n in _needs(sql)})
+        else:
+            raise AttributeError(name)
+        setattr(self, name, df)
+        return df
 
 
 def with_clause(*names: str, more: str = "") -> str:

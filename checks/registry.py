@@ -6,28 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .fixtures import frame
+from .fixtures import Frames
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
-class Inputs:
-    """Given tables and fixtures of one data folder, by name."""
-
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
-        self.sf_dir = sf_dir
-
-    def __getattr__(self, name: str) -> DataFrame:
-        return frame(self.spark, self.sf_dir, name)
-
-
 def query(name: str, sql: str | None = None):
-    """Register a function of ``Inputs`` under ``name`` with the SQL it must equal."""
+    """Register a function of ``Frames`` under ``name`` with the SQL it must equal."""
 
-    def register(build: Callable[[Inputs], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: build(Inputs(spark, sf_dir))
+    def register(build: Callable[[Frames], DataFrame]):
+        QUERIES[name] = lambda spark, sf_dir: build(Frames(spark, sf_dir))
         if sql is not None:
             SQL[name] = sql
         return build

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from __spark_entry__ import queries
-from checks.fixtures import frame
+from checks.fixtures import Frames
 from retailprep.operators.attributes import consensus
 from retailprep.operators.delta import delta
 from retailprep.operators.enrich import exclude_value, keep_known, new_rows, since
@@ -133,8 +133,8 @@ def test_hot_key_delta(spark, hot):
 
 
 def test_prices_are_shuffled_once_for_list_and_rank(spark):
-    tables = [frame(spark, SF_DIR, n) for n in ("base_raw", "retail_raw", "store_raw", "sku_dictionary")]
-    plan = final_plan(price_feed(*tables))
+    t = Frames(spark, SF_DIR)
+    plan = final_plan(price_feed(t.base_raw, t.retail_raw, t.store_raw, t.sku_dictionary))
     assert re.search(r"ReusedExchange \[source.*market_code", plan)
     # the only global window runs over the names of the lists
     singles = re.findall(r"\n(.*)\n.*\n.*Exchange SinglePartition", plan)
