@@ -183,8 +183,7 @@ def _(t):
 
 @query("list_priority", FEED + "SELECT DISTINCT name, priority FROM feed")
 def _(t):
-    prices = current(t, t.base_raw, t.retail_raw)
-    return price.with_priority(prices).select("name", "priority").distinct()
+    return price.rank_names(price.with_name(current(t, t.base_raw, t.retail_raw)), "name")
 
 
 @query("price_totals", FEED + "SELECT count(*) AS rows, count(DISTINCT name) AS lists FROM feed")

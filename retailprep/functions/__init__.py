@@ -20,7 +20,6 @@ from .text import (
     map_value,
     parse_date,
     parse_decimal,
-    prefixed,
     sku,
     split_variant,
     strip_last,
@@ -47,7 +46,6 @@ __all__ = [
     "parse_date",
     "parse_decimal",
     "path_code",
-    "prefixed",
     "season_year",
     "signed",
     "sku",

@@ -105,10 +105,6 @@ def map_value(c: Column | str, mapping: Mapping[str, str]) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*pairs), key), key) if pairs else key
 
 
-def prefixed(prefix: str, c: Column | str) -> Column:
-    return F.concat(F.lit(prefix), to_col(c))
-
-
 def suffixed(c: Column | str, suffix: str) -> Column:
     return F.concat(to_col(c), F.lit(suffix))
 

@@ -32,10 +32,15 @@ def pivot_attributes(
     return pivoted.agg(F.min(value))
 
 
-def join_attributes(df: DataFrame, pivoted: DataFrame, key: str) -> DataFrame:
-    """Left-join pivoted attributes (one row per key); a column the frame already has is not replaced."""
+def join_attributes(df: DataFrame, pivoted: DataFrame, key: str, unique: bool = False) -> DataFrame:
+    """Left-join pivoted attributes (one row per key); a column the frame already has is not replaced.
+
+    ``unique`` says that the frame has one row per key too, so no key can be hot
+    and the attributes may stay where the pivot left them.
+    """
     clashes = [c for c in pivoted.columns if c != key and find_column(df, c) is not None]
-    return df.join(pivoted.drop(*clashes), key, "left")
+    lookup = pivoted.drop(*clashes)
+    return df.join(lookup if unique else splittable(lookup), key, "left")
 
 
 def hierarchy(

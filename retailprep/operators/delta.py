@@ -16,7 +16,7 @@ def delta(
     keys: Sequence[str],
     compare: Sequence[str],
 ) -> DataFrame:
-    """Rows of ``full`` that are new or differ from a known version in ``compare``.
+    """Rows of ``full`` (unique by key) that are new or differ from a known version in ``compare``.
 
     ``known`` may hold a key once per old snapshot; a row counts as changed if any
     of these versions differs.  Known versions are first reduced to the smallest

@@ -114,13 +114,18 @@ def rank_names(names: DataFrame, column: str, rank: str = "priority") -> DataFra
     return names.select(column).distinct().withColumn(rank, F.row_number().over(Window.orderBy(column)))
 
 
+def with_name(prices: DataFrame) -> DataFrame:
+    """Add the list name: the source's prefix and the market zone."""
+    return prices.withColumn("name", F.concat(map_value("source", LIST_PREFIX), F.col("market_code")))
+
+
 def with_priority(prices: DataFrame, few_lists: bool = False) -> DataFrame:
     """Add the list name and its priority among the lists that have prices.
 
     ``few_lists`` says that the number of lists was checked, so that the ranked
     names may be broadcast.
     """
-    named = prices.withColumn("name", F.concat(map_value("source", LIST_PREFIX), F.col("market_code")))
+    named = with_name(prices)
     # the filter is always true; it keeps the value in this branch, so that both read one shuffle of the prices
     ranked = rank_names(named.filter(F.col("value") > 0), "name")
     # every name has a rank; an inner join would push a null check on the built name down to the scan

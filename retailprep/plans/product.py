@@ -140,7 +140,7 @@ def enriched_products(
     # before the pivot if Catalyst can broadcast the active codes
     pivoted = keep_known(pivoted, active, ["product_code"])
     names = [c for c in pivoted.columns if c != "product_code" and find_column(products, c) is None]
-    df = join_attributes(products, pivoted, "product_code")
+    df = join_attributes(products, pivoted, "product_code", unique=True)
     changes = {c: parse_decimal(c, *NUMBERS[c]) for c in NUMBERS}
     for i in range(1, 6):
         code = find_column(df, f"product_group_{i}_code")

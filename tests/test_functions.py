@@ -156,8 +156,8 @@ def test_sku_is_null_when_a_part_is(spark):
 
 def test_split_variant(spark):
     parent, size = R.split_variant("s")
-    values = ["86102-XX-13/35", "A/35,5/x", "A", None]
-    assert column(spark, values, parent) == ["86102-XX-13", "A", "A", None]
+    values = ["A-XX-13/35", "A/35,5/x", "A", None]
+    assert column(spark, values, parent) == ["A-XX-13", "A", "A", None]
     assert column(spark, values, size) == ["35", "35,5/x", None, None]
 
 

@@ -97,13 +97,13 @@ def test_products(spark, put, tmp_path):
     products = put(
         "product.csv",
         PRODUCT_HEADER,
-        "1;OPT;S;Item;4U;G1;All;K;TROUSERS;1 234,56 zl;23,00;SS22",
-        "2;OPT;M;Item;4U;G1;All;K;TROUSERS;99,9;8;SS26",
-        "3;OPT;L;Item;4U;G1;All;K;TROUSERS;;;",
-        "3;OPT;L;Item again;4U;G1;All;K;TROUSERS;;;",
-        "4;TECH;S;Item;4U;-1;All;K;X;;;",
-        "5;OTHER;S;Item;4U;G1;All;K;X;;;",
-        " ;OTHER;S;Item;4U;G1;All;K;X;;;",
+        "1;OPT;S;Item;BR;G1;All;K;TROUSERS;1 234,56 zl;23,00;SS22",
+        "2;OPT;M;Item;BR;G1;All;K;TROUSERS;99,9;8;SS26",
+        "3;OPT;L;Item;BR;G1;All;K;TROUSERS;;;",
+        "3;OPT;L;Item again;BR;G1;All;K;TROUSERS;;;",
+        "4;TECH;S;Item;BR;-1;All;K;X;;;",
+        "5;OTHER;S;Item;BR;G1;All;K;X;;;",
+        " ;OTHER;S;Item;BR;G1;All;K;X;;;",
     )
     attributes = put(
         "product_uda.csv",
@@ -162,7 +162,7 @@ def test_products(spark, put, tmp_path):
 
 
 def test_first_product_import_has_no_dictionary(spark, put, tmp_path):
-    products = put("product.csv", PRODUCT_HEADER, "1;OPT;S;Item;4U;G1;All;K;TROUSERS;1;1;SS26")
+    products = put("product.csv", PRODUCT_HEADER, "1;OPT;S;Item;BR;G1;All;K;TROUSERS;1;1;SS26")
     attributes = put("product_uda.csv", "product_code;uda_code;uda_value", "1;U1;GIRL")
     definitions = put("uda.csv", "uda_code;uda_description", "U1;Sex Department")
     warehouse = put("wh.csv", "product_code", "1")

@@ -27,3 +27,17 @@ def test_query(spark, con, name):
 
 def test_entry(spark):
     assert entry(spark).count() > 0
+
+
+def test_comparison_sees_differences(spark, con):
+    df = queries()["product_profile"](spark, SF_DIR)
+    sql = oracle_sql()["product_profile"]
+    assert differences(df, con, sql) == []
+    assert differences(df, con, f"SELECT is_active, unit, rows + 1 AS rows FROM ({sql})")
+    assert differences(df, con, f"SELECT * FROM ({sql}) LIMIT 1")
+    assert differences(df, con, f"SELECT is_active, unit, CAST(rows AS INTEGER) AS rows FROM ({sql})")
+    assert differences(df, con, f"SELECT is_active AS active, unit, rows FROM ({sql})")
+
+
+def test_every_query_has_rows_and_sql():
+    assert set(oracle_sql()) == set(queries())

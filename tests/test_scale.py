@@ -16,6 +16,7 @@ from retailprep.operators.keys import latest_by, sample_per_group
 from retailprep.operators.quality import blank_check, quality_report
 from retailprep.operators.temporal import asof_join, lowest_value
 from retailprep.plans.price import price_feed
+from retailprep.sources import read_feed, write_feed
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -125,6 +126,13 @@ def test_hot_parent_consensus(spark, hot):
         assert out.count() == 200_000
 
 
+def test_hot_list_is_written_in_several_parts(spark, tmp_path, hot):
+    with tiny_skew(spark):
+        write_feed(hot.withColumn("name", F.when(F.col("k") == "hot", "hot").otherwise("rest")), str(tmp_path / "out"), partition_by="name")
+    assert len(list((tmp_path / "out" / "name_key=hot").glob("part-*"))) > 1
+    assert read_feed(spark, str(tmp_path / "out")).count() == 200_000
+
+
 def test_hot_key_delta(spark, hot):
     known = hot.filter("d < date'2024-03-01'")
     with tiny_skew(spark):
@@ -156,3 +164,14 @@ def test_filters_reach_the_scan(spark, tmp_path, hot):
     assert "GreaterThanOrEqual(d,2024-02-01)" in plan
     assert "Not(EqualTo(k,hot))" in plan
     assert "payload" not in plan
+
+
+def test_broadcastable_checks_run_before_the_aggregation(spark, tmp_path, hot):
+    hot.write.parquet(str(tmp_path / "hot"))
+    spark.createDataFrame([("hot",)], "k string").write.parquet(str(tmp_path / "known"))
+    rows, known = spark.read.parquet(str(tmp_path / "hot")), spark.read.parquet(str(tmp_path / "known"))
+    plan = planned(keep_known(lowest_value(rows, ["k", "d"], "id"), known, ["k"]))
+    assert plan.index("partial_min") < plan.index("BroadcastHashJoin")
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = planned(keep_known(lowest_value(rows, ["k", "d"], "id"), known, ["k"]))
+    assert plan.index("SortMergeJoin") < plan.index("partial_min")
