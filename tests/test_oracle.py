@@ -39,5 +39,5 @@ def test_comparison_sees_differences(spark, con):
     assert differences(df, con, f"SELECT is_active AS active, unit, rows FROM ({sql})")
 
 
-def test_every_query_has_rows_and_sql():
+def test_every_query_has_sql():
     assert set(oracle_sql()) == set(queries())
