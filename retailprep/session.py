@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,22 +20,19 @@ SETTINGS = {
 # Feeds shuffle a few parsed columns after map-side aggregation, about a tenth of
 # what they read: a partition per 2 GB of input sorts some 200 MB.
 INPUT_BYTES_PER_PARTITION = 2 * 1024**3
-# From here on larger splits keep the number of map tasks, and of shuffle blocks, in check.
-LARGE_INPUT_BYTES = 10 * 1024**4
 
 
-def scale_settings(input_bytes: int) -> dict[str, str]:
+def scale_settings(input_bytes: int, split_bytes: int = 128 * 1024**2) -> dict[str, str]:
     """Shuffle partitions and split size for feeds that read this much.
 
     AQE merges small partitions and splits those of skewed joins, but it does
     not split the partitions of aggregations and windows: their number must
-    suit the data from the start.
+    suit the data from the start.  ``split_bytes`` is what a map task reads.
     """
-    partitions = max(200, -(-input_bytes // INPUT_BYTES_PER_PARTITION))
-    settings = {"spark.sql.shuffle.partitions": str(partitions)}
-    if input_bytes >= LARGE_INPUT_BYTES:
-        settings["spark.sql.files.maxPartitionBytes"] = "512m"
-    return settings
+    return {
+        "spark.sql.shuffle.partitions": str(200 + input_bytes // INPUT_BYTES_PER_PARTITION),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+    }
 
 
 def apply_settings(builder: SparkSession.Builder, input_bytes: int | None = None) -> SparkSession.Builder:
@@ -48,18 +44,16 @@ def apply_settings(builder: SparkSession.Builder, input_bytes: int | None = None
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder all executors can reach, named by ``spark.checkpoint.dir``.
+    """Folder all executors can reach.
 
-    Only a local session without that setting gets a temporary folder of its own.
+    That is ``spark.checkpoint.dir``, else the checkpoint folder set on the
+    context, else a folder in the warehouse, which a cluster shares as well.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="retailprep-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    )
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

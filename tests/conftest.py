@@ -10,13 +10,14 @@ from retailprep.session import apply_settings  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     builder = (
         SparkSession.builder.master("local[8]")
         .appName("retailprep-tests")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
     )
     session = apply_settings(builder).getOrCreate()
     session.sparkContext.setLogLevel("ERROR")

@@ -6,6 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from checks.compare import connect, differences
+from checks.registry import QUERIES, SQL
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -15,7 +16,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     df = queries()[name](spark, SF_DIR)
     sql = oracle_sql().get(name)
@@ -40,4 +41,6 @@ def test_comparison_sees_differences(spark, con):
 
 
 def test_every_query_has_sql():
-    assert set(oracle_sql()) == set(queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(QUERIES) <= set(queries())
+    assert set(SQL) <= set(oracle_sql())
