@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .quality import quality_scores
+from .simhash import simhash_groups
 from .toxicity import toxicity_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +31,8 @@ def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_groups(table(spark, sf_dir, "documents"))
