@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from .quality import quality_scores
 from .simhash import simhash_groups
 from .toxicity import toxicity_scores
+from .vectors import vector_groups
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -36,3 +37,8 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_groups(table(spark, sf_dir, "embeddings"))
