@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .quality import quality_scores
 from .simhash import simhash_groups
+from .topk import top_inner_products
 from .toxicity import toxicity_scores
 from .vectors import vector_groups
 
@@ -42,3 +43,26 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_groups(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_inner_products(table(spark, sf_dir, "embeddings"))
+
+
+SQL["op8_topk"] = """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS w
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
+    FROM v q JOIN v c ON q.vec_id <> c.vec_id
+    WHERE q.vec_id % 20 = 0
+),
+ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
+"""
