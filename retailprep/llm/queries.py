@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .bpe import decoded, encoded
 from .quality import quality_scores
 from .simhash import simhash_groups
 from .topk import top_inner_products
@@ -66,3 +69,16 @@ ranked AS (
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 20
 """
+
+
+@query
+def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    texts = table(spark, sf_dir, "documents").select("doc_id", "text")
+    tokens = decoded(encoded(texts, path, public_tokenizers.PATTERN), path)
+    return tokens.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("data", 256).alias("decoded_sha256"),
+    )
