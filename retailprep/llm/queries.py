@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import decoded, encoded
 from .quality import quality_scores
+from .lines import line_groups
 from .simhash import simhash_groups
 from .topk import top_inner_products
 from .toxicity import toxicity_scores
@@ -82,3 +83,8 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2("data", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_groups(table(spark, sf_dir, "documents"))
