@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .bpe import decoded, encoded
 from .quality import quality_scores
 from .lines import line_groups
+from .packing import byte_length, packed
 from .simhash import simhash_groups
 from .topk import top_inner_products
 from .toxicity import toxicity_scores
@@ -88,3 +89,8 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_groups(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packed(table(spark, sf_dir, "documents"), byte_length())
