@@ -13,6 +13,7 @@ from .quality import quality_scores
 from .lines import line_groups
 from .packing import byte_length, packed
 from .simhash import simhash_groups
+from .substrings import without_repeats
 from .topk import top_inner_products
 from .toxicity import toxicity_scores
 from .vectors import vector_groups
@@ -94,3 +95,40 @@ def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed(table(spark, sf_dir, "documents"), byte_length())
+
+
+@query
+def op5_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, span: total + span["end"] - span["begin"])
+    return found.select(
+        "doc_id",
+        (F.octet_length("kept").cast("long") + removed).alias("n_bytes"),
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
+SQL["op5_substrings"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (
+    SELECT doc_id, unnest(generate_series(0, CAST(length(h) // 2 AS BIGINT) - 50)) AS pos, h FROM d WHERE length(h) >= 100
+),
+s AS (SELECT doc_id, pos, md5_number(substr(h, 2 * pos + 1, 100)) AS name FROM w),
+f AS (SELECT name, min(doc_id) AS first FROM s GROUP BY name HAVING min(doc_id) < max(doc_id)),
+g AS (SELECT s.doc_id, s.pos FROM s JOIN f USING (name) WHERE s.doc_id > f.first),
+b AS (SELECT *, pos > 50 + lag(pos, 1, -1000) OVER (PARTITION BY doc_id ORDER BY pos) AS new FROM g),
+r AS (SELECT *, sum(CAST(new AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY pos) AS run FROM b),
+spans AS (SELECT doc_id, run, min(pos) AS b, max(pos) + 50 AS e FROM r GROUP BY doc_id, run),
+x AS (SELECT *, lead(b) OVER (PARTITION BY doc_id ORDER BY b) AS next_b, row_number() OVER (PARTITION BY doc_id ORDER BY b) AS k FROM spans),
+o AS (
+    SELECT x.doc_id, count(*) AS n_spans, sum(e - b) AS n_removed,
+        string_agg(CASE WHEN k = 1 THEN substr(d.h, 1, 2 * b) ELSE '' END
+            || substr(d.h, 2 * e + 1, 2 * coalesce(next_b - e, length(d.h))), '' ORDER BY b) AS kept
+    FROM x JOIN d USING (doc_id) GROUP BY x.doc_id
+)
+SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+    CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
+FROM d LEFT JOIN o USING (doc_id)
+"""
