@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .bpe import decoded, encoded
 from .quality import quality_scores
+from .html import extracted
 from .lines import line_groups
 from .packing import byte_length, packed
 from .simhash import simhash_groups
@@ -132,3 +133,8 @@ SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_remo
     CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept, h))) AS kept_sha256
 FROM d LEFT JOIN o USING (doc_id)
 """
+
+
+@query
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extracted(table(spark, sf_dir, "pages"))
