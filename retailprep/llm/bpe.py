@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import base64
+import sys
+from array import array
 from collections.abc import Iterator
+from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
@@ -12,9 +15,9 @@ from pyspark.sql import functions as F
 
 # Entries of the memos; a full one starts anew.
 MEMO = 1 << 20
-PIECE_MEMO = 1 << 18
+PIECE_MEMO = 3 << 16
 # Longer pieces are not remembered.
-PIECE_BYTES = 64
+PIECE_CHARS = 64
 NEVER = 1 << 62
 
 
@@ -27,9 +30,9 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Encoder:
     """Encodes pieces of text as the merges of ``ranks``, lowest rank first, would.
 
-    All tokens at all places of a piece come from one pass of an Aho-Corasick
-    automaton over its bytes, written as Latin-1.  Tokens are then laid from
-    left to right, longest first, as long as each is compatible with the one
+    An Aho-Corasick automaton over the tokens' bytes, written as Latin-1,
+    tells how far a token can reach from a place.  Tokens are laid from left
+    to right, longest first, as long as each is compatible with the one
     before; where none is, the place is given up for good and the last token
     is taken back.  As the encoding of every prefix is unique, no place is
     given up twice, so the work is linear in the length of the piece.
@@ -41,11 +44,13 @@ class Encoder:
         self.ranks = ranks
         self.bytes = {rank: token for token, rank in ranks.items()}
         self.automaton = ahocorasick.Automaton()
-        for token, rank in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), (rank, len(token)))
+        self.tokens = {token.decode("latin-1"): rank for token, rank in ranks.items()}
+        for token, rank in self.tokens.items():
+            self.automaton.add_word(token, rank)
         self.automaton.make_automaton()
+        self.longest = max(map(len, ranks))
         self.parts: dict[int, tuple[int, int] | None] = {}
-        self.edges: dict[tuple[int, int], list[int]] = {}
+        self.edges: dict[tuple[int, int], list[tuple[int, bytes]]] = {}
         self.fits: dict[tuple[int, int], bool] = {}
 
     def split(self, token: int) -> tuple[int, int] | None:
@@ -60,12 +65,13 @@ class Encoder:
                     break
         return self.parts[token]
 
-    def edge(self, token: int, side: int) -> list[int]:
-        """The tokens at one end of ``token`` as its merges happen: a byte first, itself last."""
+    def edge(self, token: int, side: int) -> list[tuple[int, bytes]]:
+        """The tokens at one end of ``token`` as its merges happen, a byte first, itself last; then a mark."""
         key = (token, side)
         if key not in self.edges:
             parts = self.split(token)
-            self.edges[key] = [token] if parts is None else [*self.edge(parts[side], side), token]
+            before = [] if parts is None else self.edge(parts[side], side)[:-1]
+            self.edges[key] = [*before, (token, self.bytes[token]), (NEVER, b"")]
         return self.edges[key]
 
     def meets(self, left: int, right: int, limit: int = NEVER) -> bool:
@@ -75,20 +81,22 @@ class Encoder:
         rank; the two tokens at the border grow step by step until they are
         joined, or are the whole tokens.  Of equal merges the left one is first.
         """
-        before, after = self.edge(left, 1), self.edge(right, 0)
-        i = j = 0
+        before, after = iter(self.edge(left, 1)), iter(self.edge(right, 0))
+        rank_of = self.ranks.get
+        (_, x), (_, y) = next(before), next(after)
+        (grow_left, more_left), (grow_right, more_right) = next(before), next(after)
         while True:
-            joined = self.ranks.get(self.bytes[before[i]] + self.bytes[after[j]], NEVER)
-            grow_left = before[i + 1] if i + 1 < len(before) else NEVER
-            grow_right = after[j + 1] if j + 1 < len(after) else NEVER
-            if joined < limit and joined < grow_left and joined <= grow_right:
+            joined = rank_of(x + y)
+            if joined is not None and joined < limit and joined < grow_left and joined <= grow_right:
                 return False
-            if grow_left == NEVER and grow_right == NEVER:
-                return True
             if grow_left <= grow_right:
-                i += 1
+                if grow_left == NEVER:
+                    return True
+                x = more_left
+                grow_left, more_left = next(before)
             else:
-                j += 1
+                y = more_right
+                grow_right, more_right = next(after)
 
     def compatible(self, left: int, right: int) -> bool:
         key = (left, right)
@@ -103,54 +111,73 @@ class Encoder:
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        n = len(piece)
-        places: list[list[tuple[int, int]]] = [[] for _ in range(n)]
-        for end, (token, size) in self.automaton.iter(piece.decode("latin-1")):
-            places[end - size + 1].append((token, end + 1))
-        given_up = bytearray(n + 1)
+        text = piece.decode("latin-1")
+        longest, token_of, fits, reach = self.automaton.longest_prefix, self.tokens.get, self.fits.get, self.longest
+        given_up: set[int] = set()
         out: list[int] = []
-        taken: list[tuple[int, int]] = []
-        at, k = 0, len(places[0]) - 1
+        sizes: list[int] = []
+        at, n, last = 0, len(text), -1
+        size = longest(text[:reach])
         while at < n:
-            last = out[-1] if out else -1
-            here = places[at]
-            while k >= 0:
-                token, end = here[k]
-                if not given_up[end] and (last < 0 or self.compatible(last, token)):
-                    break
-                k -= 1
-            if k >= 0:
+            while size:
+                end = at + size
+                token = token_of(text[at:end])
+                if token is not None and end not in given_up:
+                    if last < 0:
+                        break
+                    ok = fits((last, token))
+                    if ok or (ok is None and self.compatible(last, token)):
+                        break
+                size -= 1
+            if size:
                 out.append(token)
-                taken.append((at, k))
-                at = end
-                k = len(places[at]) - 1 if at < n else -1
+                sizes.append(size)
+                at, last = end, token
+                size = longest(text[at : at + reach])
             elif out:
-                given_up[at] = 1
+                given_up.add(at)
                 out.pop()
-                at, k = taken.pop()
-                k -= 1
+                last = out[-1] if out else -1
+                size = sizes.pop()
+                at -= size
+                size -= 1
             else:
                 raise ValueError("the vocabulary lacks a byte of the text")
         return out
 
 
 class Memo(dict):
-    """Ids of pieces as bytes of four-byte numbers."""
+    """Ids of pieces as bytes of four-byte numbers; pieces met since the last but one renewal."""
 
     def __init__(self, encoder: Encoder):
         super().__init__()
         self.encoder = encoder
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, piece: str) -> bytes:
-        raw = piece.encode()
-        ids = np.array(self.encoder.encode(raw), np.int32).tobytes()
-        if len(raw) <= PIECE_BYTES:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = array("i", self.encoder.encode(piece.encode())).tobytes()
+        if len(piece) <= PIECE_CHARS:
             if len(self) >= PIECE_MEMO:
+                self.older = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
 
 
+def kept_encoder(path: str) -> Memo:
+    """The memo for a rank file, kept for as long as a Python worker lives.
+
+    Functions come to workers by value with every task, so what shall outlast
+    a task has to hang on a module of the worker.
+    """
+    kept = sys.modules.setdefault("_kept_encoders", ModuleType("_kept_encoders")).__dict__
+    if path not in kept:
+        kept[path] = Memo(Encoder(read_ranks(path)))
+    return kept[path]
+
+
 def encoded(documents: DataFrame, path: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``documents`` with ``ids`` (array of int) in place of ``text``.
 
@@ -168,9 +195,8 @@ def encoded(documents: DataFrame, path: str, pattern: str, text: str = "text", i
         import regex
 
         pieces = regex.compile(pattern).findall
-        look = None
+        look = kept_encoder(path).__getitem__
         for batch in batches:
-            look = look or Memo(Encoder(read_ranks(path))).__getitem__
             parts, sizes = [], [0]
             for value in batch.column(text):
                 raw = b"".join(map(look, pieces(value.as_py() or "")))
@@ -196,7 +222,11 @@ def decoded(tokens: DataFrame, path: str, ids: str = "ids", data: str = "data")
         look = None
         for batch in batches:
             look = look or {rank: token for token, rank in read_ranks(path).items()}.__getitem__
-            texts = [b"".join(map(look, value.as_py() or [])) for value in batch.column(ids)]
+            lists = batch.column(ids)
+            if lists.null_count:
+                lists = pa.array([x or [] for x in lists.to_pylist()], lists.type)
+            numbers, cuts = lists.values, np.asarray(lists.offsets).tolist()
+            texts = [b"".join(map(look, numbers[a:b].to_numpy(zero_copy_only=False).tolist())) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in rest], pa.array(texts, pa.binary())], names=[*rest, data])
 
     return kept.mapInArrow(run, schema)
