@@ -223,15 +223,16 @@ def train(texts: DataFrame, features: Features, settings: Settings) -> Model:
     return Model(scale, np.frombuffer(fits[0]["weights"], np.float64), fits[0]["bias"])
 
 
-def score(texts: DataFrame, features: Features, model: Model, text: str, name: str) -> DataFrame:
-    """``texts`` without ``text`` and with ``name``: the score of each whole text."""
+def score(texts: DataFrame, features: Features, model: Model, text: str, name: str, keep_text: bool = False) -> DataFrame:
+    """``texts``, as a rule without ``text``, with ``name``: the score of each whole text."""
     if model.constant is not None:
-        return texts.drop(text).withColumn(name, F.lit(model.constant))
+        out = texts.withColumn(name, F.lit(model.constant))
+        return out if keep_text else out.drop(text)
     # Two values a feature; 2**bits features bound what is sent to the workers.
     product = (model.weights * model.scale).astype(np.float32)
     square = (model.scale**2).astype(np.float32)
     bias = model.bias
-    rest = [c for c in texts.columns if c != text]
+    rest = [c for c in texts.columns if keep_text or c != text]
     schema = texts.select(*[F.col(f"`{c}`") for c in rest], F.lit(0.0).alias(name)).schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

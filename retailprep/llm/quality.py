@@ -50,3 +50,13 @@ def quality_scores(
     """
     features = partial(word_ngrams, bits=settings.bits)
     return classified(documents, labels, "quality", features, settings, folds, fold)
+
+
+def good_documents(
+    documents: DataFrame, labels: DataFrame, folds: int = 3, fold: int = 1, settings: linear.Settings = SETTINGS
+) -> DataFrame:
+    """The rows of ``documents`` that ``quality_scores`` predicts to be good, whole and unchanged."""
+    features = partial(word_ngrams, bits=settings.bits)
+    model = linear.train(labelled(documents, labels, "quality", folds, fold), features, settings)
+    scored = linear.score(documents, features, model, "text", "__score", keep_text=True)
+    return scored.where("__score >= 0.5").drop("__score")

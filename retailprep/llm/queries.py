@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +45,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simhash_groups(table(spark, sf_dir, "documents"))
+    return simhash_groups(table(spark, sf_dir, "documents")).select("doc_id", "fingerprint", "component_id")
 
 
 @query
@@ -138,3 +139,8 @@ FROM d LEFT JOIN o USING (doc_id)
 @query
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extracted(table(spark, sf_dir, "pages"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)

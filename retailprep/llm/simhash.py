@@ -8,7 +8,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -20,6 +20,7 @@ SEED = 42
 TILE_ROWS = 16384
 # Rows of a tile compared at a time, after sorting by the number of bits set.
 STRIP = 256
+LAST = 2**63 - 1
 
 
 def word_lists(text: bytes) -> Iterator[list[bytes]]:
@@ -101,7 +102,7 @@ def hand_keys(least: np.ndarray) -> np.ndarray:
 
 
 def printed(documents: DataFrame, size: int, words: int, radius: int) -> DataFrame:
-    """(doc_id, print, keys) of every document."""
+    """(doc_id, place, name, print, keys) of every document; rows that share id and text share the name."""
     hands = 0 if words == 1 else 8
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,13 +116,25 @@ def printed(documents: DataFrame, size: int, words: int, radius: int) -> DataFra
             else:
                 keys = block_keys(np.frombuffer(b"".join(prints), ">u8").astype(np.uint64), radius)
             offsets = np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)
+            rest = [batch.column(c) for c in ("doc_id", "place", "name")]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(prints, pa.binary()), pa.ListArray.from_arrays(offsets, keys.ravel())],
-                names=["doc_id", "print", "keys"],
+                [*rest, pa.array(prints, pa.binary()), pa.ListArray.from_arrays(offsets, keys.ravel())],
+                names=["doc_id", "place", "name", "print", "keys"],
             )
 
-    texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    return texts.mapInArrow(run, "doc_id long, print binary, keys array<long>")
+    texts = documents.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("place"),
+        name_of(F.col("doc_id"), F.col("text")).alias("name"),
+        F.col("text").cast("binary").alias("text"),
+    )
+    return texts.mapInArrow(run, "doc_id long, place long, name binary, print binary, keys array<long>")
+
+
+def name_of(doc_id: Column, text: Column) -> Column:
+    """The same for rows that share id and text, and for no others."""
+    parts = F.concat_ws("/", doc_id.cast("string"), text.isNull().cast("string"), text)
+    return F.unhex(F.md5(parts))
 
 
 def compared(radius: int):
@@ -183,7 +196,7 @@ def link_tiles(prints: np.ndarray, left: np.ndarray, right: np.ndarray, radius:
 def simhash_groups(
     documents: DataFrame, shingle: int = 3, radius: int = 2, words: int = 1, tile_rows: int = TILE_ROWS
 ) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every document.
+    """(doc_id, fingerprint, component_id, name, kept) of every document.
 
     Texts are compared by fingerprints of 64 * ``words`` bits over shingles of
     ``shingle`` words, and link at ``radius`` or fewer differing bits; a
@@ -194,20 +207,35 @@ def simhash_groups(
     equal least hashes in one of eight tables, where two texts that share 0.8
     of their shingles miss each other with a chance of 1 in 3,000.
 
-    Null and empty texts have fingerprint zero and link with each other.  Ties
-    do not arise; repeated rows come out as often as they came in.  A null
-    doc_id names no component: one without any other id is null.  An empty
-    table gives no rows.  Only doc_id and text are read.
+    ``kept`` is true for the first document of each component by id, null
+    last; of different texts with that id, for the first by ``name``.  Rows
+    that share id and text share the name too, and are kept or not together.
+    Null and empty texts have fingerprint zero and link with each other.
+    Repeated rows come out as often as they came in.  A null doc_id names no
+    component: one without any other id is null.  An empty table gives no
+    rows.  Only doc_id and text are read.
     """
     prints = settle(printed(documents, shingle, words, radius))
     placed = settle(prints.select("print", F.explode("keys").alias("key")).distinct())
     links = met(dealt(placed, "print", tile_rows), compared(radius), "a binary, b binary")
     found = components(links)
-    firsts = prints.groupBy("print").agg(F.min("doc_id").alias("first"))
+    firsts = prints.groupBy("print").agg(F.min(F.struct("place", "name")).alias("first"))
     grouped = looked_up(firsts, found.withColumnRenamed("node", "print"), "print", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "print"))
-    names = grouped.groupBy("component").agg(F.min("first").alias("component_id"))
-    lookup = looked_up(grouped.select("print", "component"), names, "component").select("print", "component_id")
-    return looked_up(prints.select("doc_id", "print"), lookup, "print").select(
-        "doc_id", F.lower(F.hex("print")).alias("fingerprint"), "component_id"
+    names = grouped.groupBy("component").agg(F.min("first").alias("first"))
+    lookup = looked_up(grouped.select("print", "component"), names, "component").select("print", "first")
+    out = looked_up(prints.drop("keys"), lookup, "print")
+    return out.select(
+        "doc_id",
+        F.lower(F.hex("print")).alias("fingerprint"),
+        F.when(F.col("first.place") < LAST, F.col("first.place")).alias("component_id"),
+        "name",
+        (F.struct("place", "name") == F.col("first")).alias("kept"),
     )
+
+
+def first_documents(documents: DataFrame, **settings) -> DataFrame:
+    """The rows of ``documents`` that ``simhash_groups`` keeps, rows that share id and text once; nothing else changes."""
+    kept = simhash_groups(documents, **settings).where("kept").select(F.col("name").alias("__name")).distinct()
+    rows = documents.withColumn("__name", name_of(F.col("doc_id"), F.col("text")))
+    return looked_up(rows, kept.hint("shuffle_hash"), "__name").dropDuplicates(["__name"]).select(*documents.columns)

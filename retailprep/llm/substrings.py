@@ -451,7 +451,14 @@ def sorted_buckets(least: int, bucket_bytes: int):
     return run
 
 
-def cut_out(least: int):
+def whole_characters(raw: np.ndarray, inside: np.ndarray) -> np.ndarray:
+    """``inside`` without the bytes of UTF-8 characters that are not inside whole."""
+    begins = np.flatnonzero((raw & 0xC0) != 0x80)
+    whole = np.minimum.reduceat(inside, begins)
+    return np.repeat(whole, np.diff(np.append(begins, len(raw))))
+
+
+def cut_out(least: int, by_characters: bool):
     """(kept, spans) of each text and the masks of its units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -479,9 +486,12 @@ def cut_out(least: int):
                     sizes.append(sizes[-1])
                     continue
                 change = np.bincount(starts, minlength=len(raw) + 1) - np.bincount(starts + least, minlength=len(raw) + 1)
-                inside = np.concatenate(([0], np.cumsum(change)[:-1] > 0, [0])).astype(np.int8)
+                gone = (np.cumsum(change)[:-1] > 0).astype(np.int8)
+                if by_characters:
+                    gone = whole_characters(np.frombuffer(raw, np.uint8), gone)
+                inside = np.concatenate(([0], gone, [0])).astype(np.int8)
                 begin, end = np.flatnonzero(np.diff(inside) == 1), np.flatnonzero(np.diff(inside) == -1)
-                kept.append(np.frombuffer(raw, np.uint8)[inside[1:-1] == 0].tobytes())
+                kept.append(np.frombuffer(raw, np.uint8)[gone == 0].tobytes())
                 begins.append(begin)
                 ends.append(end)
                 sizes.append(sizes[-1] + len(begin))
@@ -527,6 +537,9 @@ def without_repeats(
     least: int = LEAST_BYTES,
     units_of_anchor: int = UNITS_OF_ANCHOR,
     bucket_bytes: int = BUCKET_BYTES,
+    by_characters: bool = False,
+    kept: str = "kept",
+    spans: str = "spans",
 ) -> DataFrame:
     """``documents`` with ``kept`` (binary) and ``spans`` (begin, end of removed bytes) in place of ``text``.
 
@@ -536,7 +549,8 @@ def without_repeats(
     match crosses documents, and shorter texts stay whole.  Equal ids, and two
     null ones, are not smaller than each other, so repeated rows do not remove
     each other; a null id comes after all others.  Very long texts are worked
-    on in slices.  An empty table gives no rows.  Other columns stay; the text
+    on in slices.  ``by_characters`` leaves UTF-8 characters that are not
+    removed whole.  An empty table gives no rows.  Other columns stay; the text
     of a document is shuffled once.
     """
     spark = documents.sparkSession
@@ -548,7 +562,7 @@ def without_repeats(
     known = settle(known.mapInArrow(matched(units_of_anchor), "place long, unit long, fate int"))
 
     # Both joins with the texts shuffle the same rows alike, so Spark does it once.
-    rest = [c for c in documents.columns if c not in ("text", "kept", "spans")]
+    rest = [c for c in documents.columns if c not in ("text", kept, spans)]
     rows = documents.select(place, F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("data"))
     check = known.where(F.col("fate") != GONE).groupBy("place").agg(F.collect_list(F.struct("unit", "fate")).alias("met"))
     look = looked_up(rows, check.hint("shuffle_hash"), "place")
@@ -560,4 +574,10 @@ def without_repeats(
     whole = looked_up(rows, gone.hint("shuffle_hash"), "place", "left")
     whole = whole.select("row_id", "data", F.col("met.unit").alias("units"), F.col("met.mask").alias("masks"))
     schema = whole.select("row_id", F.lit(b"").alias("kept"), F.expr("CAST(array() AS array<struct<begin:bigint,end:bigint>>)").alias("spans")).schema
-    return whole.mapInArrow(cut_out(least), schema).select("row_id.*", "kept", "spans")
+    return whole.mapInArrow(cut_out(least, by_characters), schema).select("row_id.*", F.col("kept").alias(kept), F.col("spans").alias(spans))
+
+
+def texts_without_repeats(documents: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
+    """``documents`` with what ``without_repeats`` leaves as ``text``, by whole characters; a null text becomes empty."""
+    found = without_repeats(documents, least, by_characters=True, kept="__kept", spans="__spans")
+    return found.withColumn("text", F.col("__kept").cast("string")).select(*documents.columns)
