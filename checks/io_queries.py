@@ -3,7 +3,7 @@
 from retailprep.operators.keys import sample_head, sample_per_group
 from retailprep.plans.price import price_output, price_totals
 from retailprep.session import scratch_path
-from retailprep.sources import optional, read_feed, read_latest, write_feed
+from retailprep.sources import file_manifest, optional, publish, read_feed, read_latest, write_feed
 from retailprep.sources.manifest import ALGORITHM, checksum
 from pyspark.sql import functions as F
 
@@ -95,3 +95,82 @@ def _(t):
         F.lit(ALGORITHM).alias("algorithm"),
         checksum("text").alias("checksum"),
     )
+
+
+KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
+SOLD = f"SELECT {', '.join(f'CAST({k} AS VARCHAR) AS {k}' for k in KEYS)}, store_code, CAST(value AS VARCHAR) AS value"
+FIRST = f"ORDER BY {', '.join(f'sales_raw.{k}' for k in KEYS)} LIMIT 1000"
+
+
+def published(t, mode):
+    full, sample = scratch_path(t.spark, "full"), scratch_path(t.spark, "sample")
+    text = [F.col(k).cast("string").alias(k) for k in (*KEYS, "value")]
+    days = F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("l_shipdate")
+    publish(t.sales_raw.select(*KEYS[:-1], days, "store_code", "value"), full, sample, mode, sample_order=KEYS, order_by=KEYS)
+    out = []
+    for name, path, modes in (("full", full, "FULL BOTH"), ("sample", sample, "TEST BOTH")):
+        if mode in modes.split():
+            out.append(read_feed(t.spark, path).select(F.lit(name).alias("output"), *text, "store_code"))
+    return out[0] if len(out) == 1 else out[0].unionByName(out[1])
+
+
+def day(sql):
+    return sql.replace("CAST(l_shipdate AS VARCHAR)", "strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')")
+
+
+@query("publish_full", with_clause("sales_raw") + day(f"{SOLD}, 'full' AS output FROM sales_raw"))
+def _(t):
+    return published(t, "FULL")
+
+
+@query("publish_test", with_clause("sales_raw") + day(f"{SOLD}, 'sample' AS output FROM sales_raw {FIRST}"))
+def _(t):
+    return published(t, "TEST")
+
+
+@query(
+    "publish_both",
+    with_clause("sales_raw")
+    + day(f"({SOLD}, 'full' AS output FROM sales_raw) UNION ALL ({SOLD}, 'sample' AS output FROM sales_raw {FIRST})"),
+)
+def _(t):
+    return published(t, "BOTH")
+
+
+@query(
+    "trimmed_read",
+    "SELECT CASE WHEN c_mktsegment = '' THEN NULL ELSE c_mktsegment END AS segment, count(*) AS rows FROM customer GROUP BY 1",
+)
+def _(t):
+    path = scratch_path(t.spark, "padded")
+    padded = F.concat(F.lit("  "), "c_mktsegment", F.lit(" "))
+    write_feed(t.customer.select(padded.alias(" Segment "), "c_name"), path)
+    return read_feed(t.spark, path, trim=True).groupBy("segment").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query(
+    "nulls_written_as_text",
+    """SELECT CAST(c_custkey AS VARCHAR) AS code, CASE WHEN c_custkey % 3 = 0 THEN '-' ELSE c_name END AS name FROM customer""",
+)
+def _(t):
+    path = scratch_path(t.spark, "nulls")
+    rows = t.customer.select(F.col("c_custkey").alias("code"), F.expr("CASE WHEN c_custkey % 3 > 0 THEN c_name END").alias("name"))
+    write_feed(rows, path, null_as="-", order_by=["code"])
+    # read as the text that was written, without taking the token for a NULL again
+    return read_feed(t.spark, path).select("code", "name")
+
+
+@query("written_manifest", "SELECT CAST(count(DISTINCT c_mktsegment) AS BIGINT) AS lists, true AS hashed, true AS whole FROM customer")
+def _(t):
+    path = scratch_path(t.spark, "lists")
+    write_feed(t.customer.select(F.col("c_mktsegment").alias("name"), "c_name", "c_acctbal"), path, partition_by="name")
+    listed = file_manifest(t.spark, path)
+    lines = t.spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.csv")
+    again = lines.select(F.sha1("value").alias("checksum"), F.octet_length("value").cast("long").alias("bytes"))
+    same = listed.join(again.distinct(), ["checksum", "bytes"], "left_semi")
+    counted = same.agg(F.count_distinct(F.substring_index("file", "/", 1)).alias("lists"), F.count(F.lit(1)).alias("n"))
+    total = listed.agg(F.count(F.lit(1)).alias("all"), F.bool_and(F.col("checksum").isNotNull()).alias("hashed"))
+    sides = counted.selectExpr("lists", "n", "null AS total", "null AS hashed").unionByName(
+        total.selectExpr("null AS lists", "null AS n", "all AS total", "hashed")
+    )
+    return sides.agg(F.max("lists").alias("lists"), F.bool_and("hashed").alias("hashed"), (F.max("n") == F.max("total")).alias("whole"))

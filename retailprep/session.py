@@ -57,8 +57,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/retailprep/{uuid.uuid4().hex}/{name}"
+    """A fresh path below this application's part of the shared folder."""
+    return f"{scratch_root(spark)}/{uuid.uuid4().hex}/{name}"
+
+
+def scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark).rstrip('/')}/retailprep/{spark.sparkContext.applicationId}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application settled; for the end of a job, when its results and reports have been read."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame) -> DataFrame:

@@ -16,25 +16,33 @@ def checksum(content: Column | str) -> Column:
     return F.sha1(content)
 
 
-def file_manifest(spark: SparkSession, folder: str) -> DataFrame:
-    """(file, algorithm, checksum) of every CSV below ``folder``, names relative to it.
+# What the binaryFile source can hold in one row.
+LONGEST_FILE = 2**31 - 1
 
-    Files are hashed where they are read, one per row; Spark's ``binaryFile``
-    source takes files up to 2 GB.  A manifest at the top is left out.
+
+def file_manifest(spark: SparkSession, folder: str, longest: int = LONGEST_FILE) -> DataFrame:
+    """(file, algorithm, checksum, bytes) of every CSV below ``folder``, names relative to it.
+
+    Files are hashed where they are read, one per row.  A file of more than
+    ``longest`` bytes, past Spark's reach, is listed with a NULL checksum; the
+    parts of ``write_feed`` stay below.  A manifest at the top is left out.
     """
     files = (
         spark.read.format("binaryFile")
         .options(recursiveFileLookup=True, pathGlobFilter="{*.[cC][sS][vV],*manifest}")
         .load(folder)
+        .withColumn("file", path_below(spark, folder))
+        .filter(F.col("file") != MANIFEST)
+    )
+    # The length comes from the listing and is pushed to the source: longer files are not opened.
+    read = files.filter(F.col("length") <= longest).select("file", checksum("content").alias("checksum"), "length")
+    rest = files.filter(F.col("length") > longest).select("file", F.lit(None).cast("string").alias("checksum"), "length")
+    return read.unionByName(rest).select(
+        "file", F.lit(ALGORITHM).alias("algorithm"), "checksum", F.col("length").alias("bytes")
     )
-    return files.select(
-        path_below(folder).alias("file"),
-        F.lit(ALGORITHM).alias("algorithm"),
-        checksum("content").alias("checksum"),
-    ).filter(F.col("file") != MANIFEST)
 
 
 def write_manifest(manifest: DataFrame, path: str, sep: str = " ") -> None:
     """Write the manifest as text lines sorted by file name."""
-    line = F.concat_ws(sep, "file", "algorithm", "checksum").alias("value")
+    line = F.concat_ws(sep, "file", "algorithm", F.coalesce("checksum", F.lit(""))).alias("value")
     manifest.orderBy("file").select(line).write.mode("overwrite").text(path)

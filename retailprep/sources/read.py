@@ -50,11 +50,21 @@ def read_feed(
     return df.select(*[column_or_null(df, f.name, f.dataType.simpleString()) for f in schema])
 
 
-def path_below(folder: str, path: Column | str = "path") -> Column:
-    """A file's path relative to ``folder``, whether or not either names its scheme."""
-    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", "", folder).rstrip("/") + "/"
-    path = to_col(path)
-    return F.substring(path, F.instr(path, F.lit(bare)) + len(bare), F.length(path))
+def resolved(spark: SparkSession, folder: str) -> str:
+    """The folder as its file system names it: absolute, with its scheme, without ``..`` and double slashes."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.globStatus(path) is None or len(system.globStatus(path)) != 1:
+        raise FileNotFoundError(f"{folder} is not one folder")
+    return system.globStatus(path)[0].getPath().toString()
+
+
+def path_below(spark: SparkSession, folder: str, path: Column | str = "path") -> Column:
+    """A file's path relative to ``folder``; a path outside it raises."""
+    bare = re.sub(r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", "", resolved(spark, folder)).rstrip("/") + "/"
+    path = F.regexp_replace(to_col(path), r"^[A-Za-z][A-Za-z0-9+.\-]*:(//[^/]*)?", "")
+    outside = F.raise_error(F.concat(path, F.lit(f" is not below {bare}")))
+    return F.when(path.startswith(bare), F.substring(path, len(bare) + 1, F.length(path))).otherwise(outside)
 
 
 def latest_path(spark: SparkSession, folder: str, prefix: str, suffix: str = ".csv") -> str:
@@ -64,7 +74,7 @@ def latest_path(spark: SparkSession, folder: str, prefix: str, suffix: str = ".c
     content column is pruned, so no file is opened.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    names = files.select(F.substring_index(path_below(folder), "/", 1).alias("name"))
+    names = files.select(F.substring_index(path_below(spark, folder), "/", 1).alias("name"))
     matching = names.filter(F.col("name").startswith(prefix) & F.col("name").endswith(suffix))
     newest = matching.agg(F.max("name").alias("name")).first()["name"]
     if newest is None:
@@ -101,16 +111,26 @@ def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("recursiveFileLookup", "true").parquet(path)
 
 
+# Spark's names for a source that is not there or holds no file yet.
+ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
 def optional(read: Callable[[], DataFrame], schema: StructType | str, spark: SparkSession) -> DataFrame:
     """Result of ``read``, or a typed empty frame when the source does not exist.
 
-    Only analysis errors (missing path, no schema to be found) count as absent.
+    Only a missing path and a folder without files count as absent; a wrong
+    column or type raises.
     """
     try:
         return read()
-    except (AnalysisException, FileNotFoundError) as error:
-        log.warning("optional source skipped: %s", str(error).splitlines()[0])
-        return spark.createDataFrame([], schema)
+    except FileNotFoundError as error:
+        reason = str(error)
+    except AnalysisException as error:
+        if not (error.getCondition() or "").startswith(ABSENT):
+            raise
+        reason = str(error)
+    log.warning("optional source skipped: %s", reason.splitlines()[0])
+    return spark.createDataFrame([], schema)
 
 
 def find_column(df: DataFrame, *names: str) -> str | None:

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from ..operators.keys import sample_head, sample_per_group
 from ..session import settle
 
-# Largest feed that may be squeezed through one task into one file.
-SINGLE_FILE_ROWS = 1_000_000
+# Rows of a part; keeps files far below the 2 GB that a manifest can read.
+PART_ROWS = 5_000_000
 
 OPTIONS = {
     "header": True,
@@ -31,30 +31,23 @@ def write_feed(
     path: str,
     order_by: Sequence[str] = (),
     partition_by: str | None = None,
-    single_file: bool = False,
     null_as: str = "",
+    part_rows: int = PART_ROWS,
     **options,
 ) -> None:
     """Write a feed: ``;``, header, UTF-8, ``null_as`` (empty text) for NULL.
 
-    The result is a directory of parts that replaces an older one.
+    The result is a directory of parts of up to ``part_rows`` rows that replaces
+    an older one.
     ``order_by`` gives a global order across the parts; end it in a unique
     column so that a value with many rows still spreads over several parts.
     ``partition_by`` puts each value (a price list) into its own folder in one
     job; the rebalance splits a large list over several tasks and keeps a small
-    one in one.  ``single_file`` is for small feeds and refuses larger ones.
+    one in one.
     """
-    if partition_by and (order_by or single_file):
-        raise ValueError("partition_by excludes order_by and single_file")
-    if single_file:
-        # one column only: the check must not carry whole rows to one task
-        rows = df.select(F.lit(1).alias("one")).limit(SINGLE_FILE_ROWS + 1).count()
-        if rows > SINGLE_FILE_ROWS:
-            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows, write in parts instead")
-        df = df.coalesce(1)
-        if order_by:
-            df = df.sortWithinPartitions(*order_by)
-    elif order_by:
+    if partition_by and order_by:
+        raise ValueError("partition_by excludes order_by")
+    if order_by:
         df = df.orderBy(*order_by)
     if partition_by:
         folder = f"{partition_by}_key"
@@ -62,7 +55,21 @@ def write_feed(
         writer = df.write.partitionBy(folder)
     else:
         writer = df.write
-    writer.mode("overwrite").options(**{**OPTIONS, "nullValue": null_as, **options}).csv(path)
+    writer.mode("overwrite").options(**{**OPTIONS, "maxRecordsPerFile": part_rows, "nullValue": null_as, **options}).csv(path)
+
+
+def check_outputs(full_path: str | None, sample_path: str | None, mode: str) -> None:
+    """Raise if the mode is unknown, lacks a folder, or its folders overlap; before any work is done."""
+    if mode not in ("FULL", "TEST", "BOTH"):
+        raise ValueError(f"unknown mode {mode!r}, expected FULL, TEST or BOTH")
+    wanted = {"full": full_path if mode != "TEST" else "-", "sample": sample_path if mode != "FULL" else "-"}
+    lacking = [name for name, path in wanted.items() if not path]
+    if lacking:
+        raise ValueError(f"mode {mode} needs a folder for {' and '.join(lacking)}")
+    if mode == "BOTH":
+        a, b = (p.rstrip("/") + "/" for p in (full_path, sample_path))
+        if a.startswith(b) or b.startswith(a):
+            raise ValueError("full and sample folders overlap")
 
 
 def publish(
@@ -73,21 +80,19 @@ def publish(
     sample_order: Sequence[str] = (),
     sample_n: int = 1000,
     sample_by: str | None = None,
+    settled: bool = False,
     **options,
 ) -> None:
     """Write the whole feed (FULL), a sample of it (TEST) or both (BOTH).
 
     The sample is the first ``sample_n`` rows by ``sample_order``, or that many
     per value of ``sample_by``.  Full and sample folders must not contain each
-    other, since both are replaced as a whole.
+    other, since both are replaced as a whole.  BOTH writes the feed to the
+    shared folder once and reads it from there, unless it is ``settled`` already.
     """
-    if mode not in ("FULL", "TEST", "BOTH"):
-        raise ValueError(f"unknown mode {mode!r}, expected FULL, TEST or BOTH")
+    check_outputs(full_path, sample_path, mode)
     if mode == "BOTH":
-        a, b = (p.rstrip("/") + "/" for p in (full_path, sample_path))
-        if a.startswith(b) or b.startswith(a):
-            raise ValueError("full and sample folders overlap")
-        df = settle(df)
+        df = df if settled else settle(df)
     if mode in ("FULL", "BOTH"):
         write_feed(df, full_path, **options)
     if mode in ("TEST", "BOTH"):
@@ -96,5 +101,5 @@ def publish(
             write_feed(sample, sample_path, **options)
         else:
             sample = sample_head(df, sample_n, list(sample_order) or df.columns)
-            options = {k: v for k, v in options.items() if k not in ("partition_by", "single_file")}
-            write_feed(sample, sample_path, single_file=sample_n <= SINGLE_FILE_ROWS, **options)
+            options = {k: v for k, v in options.items() if k != "partition_by"}
+            write_feed(sample, sample_path, **options)

@@ -3,9 +3,10 @@
 import hashlib
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from retailprep.session import scale_settings, scratch_path, settle, shared_dir
+from retailprep.session import clear_scratch, scale_settings, scratch_path, scratch_root, settle, shared_dir
 from retailprep.sources import (
     column_or_null,
     file_manifest,
@@ -19,7 +20,7 @@ from retailprep.sources import (
     write_feed,
     write_manifest,
 )
-from retailprep.sources import write as write_module
+from retailprep.sources.read import latest_path, path_below
 
 
 def rows(df, *order):
@@ -64,6 +65,30 @@ def test_optional_source(spark, tmp_path):
         optional(lambda: 1 / 0, "a string", spark)
 
 
+def test_only_absent_sources_are_optional(spark, tmp_path):
+    (tmp_path / "empty").mkdir()
+    assert optional(lambda: read_dictionary(spark, str(tmp_path / "empty")), "a string", spark).isEmpty()
+    spark.range(1).write.parquet(str(tmp_path / "dict"))
+    for wrong in ("SELECT missing FROM {d}", "SELECT CAST(id AS DATE) FROM {d}"):
+        with pytest.raises(AnalysisException):
+            optional(lambda sql=wrong: spark.sql(sql, d=read_dictionary(spark, str(tmp_path / "dict"))), "a string", spark)
+
+
+def test_folders_are_resolved(spark, tmp_path, monkeypatch):
+    inner = tmp_path / "in" / "home" / "in"
+    inner.mkdir(parents=True)
+    (inner / "inventory_2026_01_01.csv").write_text("product_code\nx\n")
+    for folder in (str(inner), f"{inner}/", f"file:{inner}", f"{tmp_path}/in/../in//home/in"):
+        assert latest_path(spark, folder, "inventory_").endswith("inventory_2026_01_01.csv")
+        assert [r[0] for r in file_manifest(spark, folder).select("file").collect()] == ["inventory_2026_01_01.csv"]
+    assert [r[0] for r in file_manifest(spark, str(tmp_path / "in")).select("file").collect()] == ["home/in/inventory_2026_01_01.csv"]
+    outside = spark.createDataFrame([("file:/elsewhere/in/x.csv",)], "path string")
+    with pytest.raises(Exception, match="not below"):
+        outside.select(path_below(spark, str(inner))).collect()
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        latest_path(spark, str(tmp_path / "none"), "inventory_")
+
+
 def test_dictionary_over_snapshots(spark, tmp_path):
     for day, code in (("2026-01-01", "A"), ("2026-01-02", "B")):
         spark.createDataFrame([(code,)], "code string").write.parquet(str(tmp_path / "dict" / day))
@@ -100,14 +125,18 @@ def test_write_in_order_over_several_parts(spark, tmp_path):
     assert lines == sorted(lines)
 
 
-def test_single_file_refuses_large_feeds(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(write_module, "SINGLE_FILE_ROWS", 10)
-    df = spark.range(0, 10, 1, 4).toDF("id")
-    write_feed(df, str(tmp_path / "one"), single_file=True, order_by=["id"])
-    (part,) = (tmp_path / "one").glob("part-*.csv")
-    assert part.read_text().split() == ["id", *map(str, range(10))]
-    with pytest.raises(ValueError, match="more than 10 rows"):
-        write_feed(spark.range(11), str(tmp_path / "two"), single_file=True)
+def test_parts_are_bounded(spark, tmp_path):
+    write_feed(spark.range(0, 100, 1, 1), str(tmp_path / "out"), part_rows=30)
+    parts = list((tmp_path / "out").glob("part-*.csv"))
+    assert len(parts) == 4
+    assert read_feed(spark, str(tmp_path / "out")).count() == 100
+
+
+def test_outputs_are_checked_before_the_work(spark):
+    broken = spark.range(1).select(F.raise_error(F.lit("worked")).alias("x"))
+    for mode, full, sample in (("FULL", None, "s"), ("TEST", "f", None), ("BOTH", "f", None), ("SOME", "f", "s")):
+        with pytest.raises(ValueError, match="mode"):
+            publish(broken, full, sample, mode)
 
 
 def test_one_folder_per_list(spark, tmp_path):
@@ -140,7 +169,11 @@ def test_manifest(spark, tmp_path):
         (tmp_path / name).write_bytes(content)
     manifest = file_manifest(spark, str(tmp_path))
     want = sorted((n, "SHA1", hashlib.sha1(c).hexdigest()) for n, c in files.items())
-    assert rows(manifest) == want
+    assert rows(manifest.drop("bytes")) == want
+    assert rows(manifest.select("file", "bytes")) == sorted((n, len(c)) for n, c in files.items())
+    short = file_manifest(spark, str(tmp_path), longest=3)
+    assert rows(short.filter("checksum IS NULL").select("file", "bytes")) == [("a.csv", 4), ("sub/manifest", 5)]
+    assert short.count() == 3
     out = scratch_path(spark, "manifest")
     write_manifest(manifest, out)
     assert [r[0] for r in spark.read.text(out).collect()] == [" ".join(line) for line in want]
@@ -153,9 +186,19 @@ def test_settled_frames_are_read_from_the_shared_folder(spark):
     assert all(shared_dir(spark).split(":")[-1] in path for path in settled.inputFiles())
 
 
+def test_scratch_is_cleared(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("retailprep.session.shared_dir", lambda spark: str(tmp_path))
+    settle(spark.range(3))
+    (tmp_path / "retailprep" / "another-application").mkdir()
+    assert scratch_root(spark).startswith(str(tmp_path))
+    clear_scratch(spark)
+    assert [p.name for p in (tmp_path / "retailprep").iterdir()] == ["another-application"]
+
+
 def test_settings_follow_the_input():
-    assert scale_settings(10**9) == {"spark.sql.shuffle.partitions": "200"}
-    assert scale_settings(100 * 1024**4) == {
-        "spark.sql.shuffle.partitions": "51200",
-        "spark.sql.files.maxPartitionBytes": "512m",
+    split = str(128 * 1024**2)
+    assert scale_settings(10**9) == {"spark.sql.shuffle.partitions": "200", "spark.sql.files.maxPartitionBytes": split}
+    assert scale_settings(100 * 1024**4, 2**29) == {
+        "spark.sql.shuffle.partitions": "51400",
+        "spark.sql.files.maxPartitionBytes": str(2**29),
     }
