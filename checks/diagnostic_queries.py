@@ -23,7 +23,7 @@ KEYS = "s.context, s.l_orderkey, s.l_partkey, s.l_suppkey, s.l_linenumber, s.l_s
                  WHEN r.versions = 1 THEN CAST(s.amount * r.multiply / r.divide AS DECIMAL(18,6)) END AS converted,
             CASE WHEN p.sales_unit IS NULL THEN 'unknown_product' WHEN s.unit = p.sales_unit THEN 'same'
                  WHEN r.versions IS NULL THEN 'missing' WHEN r.versions > 1 THEN 'ambiguous' ELSE 'converted' END AS status
-        FROM unit_stock s LEFT JOIN unit_product p ON p.product_code = s.product_code
+        FROM unit_stock s LEFT JOIN (SELECT DISTINCT ON (product_code) * FROM unit_product ORDER BY product_code, sales_unit, "group") p ON p.product_code = s.product_code
         LEFT JOIN rules r ON r."group" = p."group" AND r.unit = s.unit AND r.sales_unit = p.sales_unit""",
 )
 def unit_convert(t):
@@ -34,7 +34,7 @@ def unit_convert(t):
     "unit_missing",
     with_clause("unit_stock", "unit_product", "unit_conversion", more=TABLE)
     + """SELECT s.context, s.unit, p.sales_unit, count(*) AS rows, count(DISTINCT s.product_code) AS products
-        FROM unit_stock s JOIN unit_product p ON p.product_code = s.product_code
+        FROM unit_stock s JOIN (SELECT DISTINCT ON (product_code) * FROM unit_product ORDER BY product_code, sales_unit, "group") p ON p.product_code = s.product_code
         LEFT JOIN rules r ON r."group" = p."group" AND r.unit = s.unit AND r.sales_unit = p.sales_unit
         WHERE s.unit <> p.sales_unit AND r.versions IS NULL GROUP BY ALL""",
 )

@@ -84,7 +84,7 @@ FIXTURES = {
         UNION ALL
         SELECT CAST(p_partkey AS STRING) FROM {part} WHERE p_type = 'SMALL'
     """,
-    # warehouse stock of recent deliveries
+    # warehouse stock by region and product
     "warehouse_raw": """
         SELECT 'WH' || CAST(n_regionkey AS STRING) AS warehouse_code,
                CASE WHEN l_partkey % 11 = 0 THEN '' ELSE CAST(l_partkey AS STRING) END AS product_code,
@@ -92,7 +92,6 @@ FIXTURES = {
                CASE WHEN l_partkey % 7 = 0 THEN '2024-13-01'
                     ELSE CAST(CAST(MAX(l_shipdate) AS DATE) AS STRING) END AS inventory_warehouse_date
         FROM {lineitem} JOIN {supplier} ON l_suppkey = s_suppkey JOIN {nation} ON s_nationkey = n_nationkey
-        WHERE l_shipdate >= TIMESTAMP '2001-08-01 00:00:00'
         GROUP BY n_regionkey, l_partkey
     """,
     # codes in the newest store stock
@@ -237,13 +236,15 @@ FIXTURES = {
                CASE p_size % 3 WHEN 0 THEN 'PAR' WHEN 1 THEN '6PAK' ELSE 'SZT' END AS sales_unit,
                p_name || '/' || p_type AS `group`
         FROM {part}
+        UNION ALL
+        SELECT CAST(p_partkey AS STRING), 'SZT', p_name || '/' || p_type FROM {part} WHERE p_partkey % 10 = 0
     """,
     "unit_conversion": """
         SELECT DISTINCT p_name || '/' || p_type AS `group`, 'SZT' AS from_unit,
                CASE p_size % 4 WHEN 0 THEN 'PAR' WHEN 1 THEN '5PAK' WHEN 2 THEN '6PAK' ELSE '12PAK' END AS to_unit,
                CASE WHEN p_size = 10 THEN 7 WHEN p_size % 4 = 0 THEN 1 WHEN p_size % 4 = 1 THEN 5
                     WHEN p_size % 4 = 2 THEN 6 ELSE 12 END AS factor
-        FROM {part} WHERE p_retailprice > 0 AND p_size BETWEEN 8 AND 20
+        FROM {part} WHERE p_size BETWEEN 8 AND 20
     """,
     "unit_stock": """
         SELECT CASE l_linestatus WHEN 'F' THEN 'warehouse' ELSE 'store' END AS context,
@@ -265,11 +266,15 @@ FIXTURES = {
         SELECT event_type AS code, user_id AS error_key, CAST(ts AS DATE) AS error_day FROM {events}
     """,
     "delivery_a": """
-        SELECT CAST(o_custkey AS STRING) AS parent, CAST(o_custkey AS STRING) || '/' || o_orderpriority AS variant
+        SELECT CASE WHEN o_custkey % 13 = 0 THEN NULL ELSE CAST(o_custkey AS STRING) END AS parent,
+               CASE WHEN o_custkey % 11 = 0 THEN NULL
+                    ELSE CAST(o_custkey AS STRING) || '/' || o_orderpriority END AS variant
         FROM {orders} WHERE o_orderdate < TIMESTAMP '1996-01-01 00:00:00'
     """,
     "delivery_b": """
-        SELECT CAST(o_custkey AS STRING) AS parent, CAST(o_custkey AS STRING) || '/' || o_orderpriority AS variant
+        SELECT CAST(o_custkey % 100 + 1 AS STRING) AS parent,
+               CASE WHEN o_custkey % 17 = 0 THEN NULL
+                    ELSE CAST(o_custkey AS STRING) || '/' || o_orderpriority END AS variant
         FROM {orders} WHERE o_orderdate >= TIMESTAMP '1996-01-01 00:00:00'
     """,
     "customer_base": """

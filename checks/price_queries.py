@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from retailprep.operators.attributes import group_sizes
-from retailprep.operators.enrich import broadcast_if_small, keep_known, since, stack
+from retailprep.operators.enrich import keep_known, since, stack
 from retailprep.operators.keys import lowest_by
 from retailprep.operators.temporal import accumulate, asof_join, price_fallback
 from retailprep.plans import price, sales
@@ -102,7 +102,7 @@ def cleaned(t):
 
 
 def current(t, base, retail):
-    served = broadcast_if_small(price.served_zones(t.store_raw))
+    served = price.served_zones(t.store_raw)
     return price.current_prices(base, retail, served, t.sku_dictionary)
 
 
@@ -145,7 +145,7 @@ def _(t):
     CLEAN + f"SELECT {PRICE_COLUMNS} FROM clean c WHERE (source, zone) IN (SELECT (source, zone) FROM served)",
 )
 def _(t):
-    served = broadcast_if_small(price.served_zones(t.store_raw))
+    served = price.served_zones(t.store_raw)
     return keep_known(cleaned(t), served, ["source", "zone"]).select(*PRICE_COLUMNS.split(", "))
 
 
@@ -209,6 +209,25 @@ def price_delta(t):
     return price.price_output(full_feed(t, known=known.unionByName(known)))
 
 
+@query(
+    "price_delta_values",
+    DELTA
+    + OUT
+    + """feed f WHERE NOT EXISTS (SELECT 1 FROM feed_old o WHERE o.name = f.name
+            AND o.product_code = f.product_code AND o.start_date = f.start_date)
+        OR EXISTS (SELECT 1 FROM feed_old o WHERE o.name = f.name AND o.product_code = f.product_code
+            AND o.start_date = f.start_date
+            AND (o.end_date IS DISTINCT FROM f.end_date OR o.value + f.priority % 2 IS DISTINCT FROM f.value))""",
+)
+def _(t):
+    earlier = price.price_feed(t.base_old, t.retail_old, t.store_raw, t.sku_dictionary)
+    full = full_feed(t).select("name", "product_code", "start_date", "priority")
+    # the dictionary has another value wherever the list's priority is odd now
+    shifted = earlier.drop("priority").join(full, ["name", "product_code", "start_date"])
+    shifted = shifted.withColumn("value", (F.col("value") + F.col("priority") % 2).cast("decimal(15,2)"))
+    return price.price_output(full_feed(t, known=shifted.select(*earlier.columns), compare=["end_date", "value"]))
+
+
 @query(
     "price_history",
     DELTA

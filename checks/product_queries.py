@@ -169,19 +169,26 @@ def parent_consensus(t):
     return consensus(rows, "option_code", GROUPS)
 
 
+# Most children know nothing of the first two groups: empty rows are the most frequent ones.
+GAPS = f"""SELECT product_code, option_code, size_code, brand, {', '.join(
+    f"CASE WHEN right(product_code, 1) IN ('1', '2', '3', '4', '5', '6') THEN NULL ELSE {c} END AS {c}" for c in GROUPS)}
+    FROM """
+
+
 @query(
     "parent_consensus_tuple",
     with_clause("product_raw")
-    + f""", best AS (SELECT * EXCLUDE (rn) FROM (
-            SELECT option_code, {', '.join(f'{c} AS t_{c}' for c in GROUPS)},
+    + f""", gaps AS ({GAPS} product_raw), best AS (SELECT * EXCLUDE (rn) FROM (
+            SELECT option_code, {' AND '.join(f'{c} IS NULL' for c in GROUPS)} AS empty, {', '.join(f'{c} AS t_{c}' for c in GROUPS)},
                 row_number() OVER (PARTITION BY option_code
-                    ORDER BY count(*) DESC, {', '.join(f'{c} NULLS FIRST' for c in GROUPS)}) AS rn
-            FROM product_raw GROUP BY option_code, {', '.join(GROUPS)}) WHERE rn = 1)
-        SELECT r.product_code, r.size_code, r.brand, {', '.join(f't_{c} AS {c}' for c in GROUPS)}
-        FROM product_raw r JOIN best USING (option_code)""",
+                    ORDER BY {' AND '.join(f'{c} IS NULL' for c in GROUPS)}, count(*) DESC,
+                        {' + '.join(f'CAST({c} IS NULL AS INT)' for c in GROUPS)}, {', '.join(f'{c} NULLS FIRST' for c in GROUPS)}) AS rn
+            FROM gaps GROUP BY option_code, {', '.join(GROUPS)}) WHERE rn = 1)
+        SELECT r.product_code, r.size_code, r.brand, {', '.join(f'CASE WHEN empty THEN {c} ELSE t_{c} END AS {c}' for c in GROUPS)}
+        FROM gaps r JOIN best USING (option_code)""",
 )
 def _(t):
-    rows = t.product_raw.select("product_code", "option_code", "size_code", "brand", *GROUPS)
+    rows = t.spark.sql(GAPS + "{raw}", raw=t.product_raw)
     return consensus(rows, "option_code", GROUPS, as_tuple=True).drop("option_code")
 
 

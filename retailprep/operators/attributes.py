@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.codes import path_code
 from ..sources.read import find_column
-from .enrich import splittable
+from .enrich import lookup_join
 
 
 def pivot_attributes(
@@ -40,7 +41,7 @@ def join_attributes(df: DataFrame, pivoted: DataFrame, key: str, unique: bool =
     """
     clashes = [c for c in pivoted.columns if c != key and find_column(df, c) is not None]
     lookup = pivoted.drop(*clashes)
-    return df.join(lookup if unique else splittable(lookup), key, "left")
+    return df.join(lookup, key, "left") if unique else lookup_join(df, lookup, [key])
 
 
 def hierarchy(
@@ -96,18 +97,27 @@ def consensus(df: DataFrame, parent: str, columns: Sequence[str], as_tuple: bool
     """Give all children of a parent the parent's most frequent values.
 
     Each column votes on its own, so a code and its name may come from different
-    rows; ``as_tuple`` takes the most frequent row of values as a whole.  Ties go
-    to the smallest value.  As long as no parent in the whole frame disagrees,
+    rows; ``as_tuple`` takes the most frequent row of values that is not all NULL
+    as a whole, of equally frequent ones the one with fewer gaps.  Ties go to the
+    smallest value.  As long as no parent in the whole frame disagrees,
     nothing changes; otherwise gaps are filled from the siblings too.
     """
     typed = dict(df.dtypes)
     if as_tuple:
+        votes = _tuples(df, parent, columns)
         values = [F.col(c).alias(f"v{i}") for i, c in enumerate(columns)]
-        rank = F.struct((-F.col("__children")).alias("n"), *values)
-        best = _tuples(df, parent, columns).groupBy(parent).agg(F.min(rank).alias("__best"))
-        joined = df.join(splittable(best), parent, "left")
+        # rows with more values first: an empty row of values is no opinion
+        gaps = reduce(lambda x, y: x + y, [F.col(c).isNull().cast("int") for c in columns])
+        rank = F.struct((gaps == len(columns)).alias("empty"), (-F.col("__children")).alias("n"), gaps.alias("gaps"), *values)
+        best = votes.groupBy(parent).agg(
+            F.min(rank).alias("__best"), *[F.count_distinct(c).alias(f"__n{i}") for i, c in enumerate(columns)]
+        )
+        disagree = F.greatest(*[F.col(f"__n{i}") for i in range(len(columns))], F.lit(0)) > 1
+        conflict = best.agg(F.max(disagree).alias("any")).scalar()
+        best = best.filter(conflict).select(parent, "__best")
+        joined = lookup_join(df, best, [parent])
         picked = {
-            c: F.when(F.col("__best").isNotNull(), F.col(f"__best.v{i}")).otherwise(F.col(c))
+            c: F.when(F.col("__best").isNotNull() & ~F.col("__best.empty"), F.col(f"__best.v{i}")).otherwise(F.col(c))
             for i, c in enumerate(columns)
         }
         return joined.withColumns(picked).drop("__best")
@@ -120,7 +130,7 @@ def consensus(df: DataFrame, parent: str, columns: Sequence[str], as_tuple: bool
     # one value for the whole frame; counting over the same votes lets Spark reuse their shuffle
     per_cell = votes.groupBy(parent, "__c").agg(F.count("__value").alias("values"), F.sum("__children").alias("n"))
     conflict = per_cell.agg(F.max((F.col("values") > 1) & (F.col("n") > 0)).alias("any")).scalar()
-    joined = df.join(splittable(best.filter(conflict)), parent, "left")
+    joined = lookup_join(df, best.filter(conflict), [parent])
     settled = {
         c: F.coalesce(F.col(f"__best{i}").try_cast(typed[c]), F.col(c)) for i, c in enumerate(columns)
     }

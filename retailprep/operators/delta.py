@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .enrich import new_rows
@@ -40,7 +40,7 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFram
 
 def densify(snapshot: DataFrame, wanted: DataFrame, keys: Sequence[str], amounts: Sequence[str]) -> DataFrame:
     """One row per wanted key; a key absent from the snapshot has zero amounts."""
-    totals = snapshot.groupBy(*keys).agg(*[F.sum(a).cast(t).alias(a) for a, t in snapshot.dtypes if a in amounts])
+    totals = snapshot.groupBy(*keys).agg(*[F.sum(a).try_cast(t).alias(a) for a, t in snapshot.dtypes if a in amounts])
     filled = [F.coalesce(F.col(a), F.lit(0)).cast(dict(totals.dtypes)[a]).alias(a) for a in amounts]
     return wanted.select(*keys).distinct().join(totals, list(keys), "left").select(*keys, *filled)
 
@@ -48,29 +48,23 @@ def densify(snapshot: DataFrame, wanted: DataFrame, keys: Sequence[str], amounts
 def compare_deliveries(a: DataFrame, b: DataFrame, variant: str, parent: str) -> DataFrame:
     """One row: rows, distinct variants and parents of two deliveries and what they share.
 
-    One pass per level: deliveries are stacked and grouped by key, so nothing is joined.
+    Variants and parents are counted each by itself, so a variant may change
+    its parent; a NULL is a row but neither a variant nor a parent.  Each row of
+    the stacked deliveries gives one cell per level, which are aggregated by
+    their value: nothing is joined.
     """
     tagged = a.select(variant, parent, F.lit(1).alias("in_a"), F.lit(0).alias("in_b")).unionByName(
         b.select(variant, parent, F.lit(0).alias("in_a"), F.lit(1).alias("in_b"))
     )
-    per_variant = tagged.groupBy(variant, parent).agg(
-        F.sum("in_a").alias("rows_a"), F.sum("in_b").alias("rows_b")
-    )
-    per_parent = per_variant.groupBy(parent).agg(
-        F.sum("rows_a").alias("rows_a"),
-        F.sum("rows_b").alias("rows_b"),
-        F.count_if(F.col("rows_a") > 0).alias("variants_a"),
-        F.count_if(F.col("rows_b") > 0).alias("variants_b"),
-        F.count_if((F.col("rows_a") > 0) & (F.col("rows_b") > 0)).alias("variants_common"),
-    )
+    levels = F.array(F.col(variant).cast("string"), F.col(parent).cast("string"))
+    cells = tagged.select("in_a", "in_b", F.posexplode(levels).alias("level", "key"))
+    per_key = cells.groupBy("level", "key").agg(F.sum("in_a").alias("rows_a"), F.sum("in_b").alias("rows_b"))
     in_a, in_b = F.col("rows_a") > 0, F.col("rows_b") > 0
-    return per_parent.agg(
-        F.sum("rows_a").alias("rows_a"),
-        F.sum("rows_b").alias("rows_b"),
-        F.sum("variants_a").alias("variants_a"),
-        F.sum("variants_b").alias("variants_b"),
-        F.sum("variants_common").alias("variants_common"),
-        F.count_if(in_a).alias("parents_a"),
-        F.count_if(in_b).alias("parents_b"),
-        F.count_if(in_a & in_b).alias("parents_common"),
-    )
+
+    def counted(level: int, name: str) -> list[Column]:
+        known = (F.col("level") == level) & F.col("key").isNotNull()
+        sides = ((in_a, "a"), (in_b, "b"), (in_a & in_b, "common"))
+        return [F.count_if(known & side).alias(f"{name}_{which}") for side, which in sides]
+
+    rows = [F.sum(F.when(F.col("level") == 0, F.col(f"rows_{which}"))).alias(f"rows_{which}") for which in "ab"]
+    return per_key.agg(*rows, *counted(0, "variants"), *counted(1, "parents"))

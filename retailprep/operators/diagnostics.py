@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .enrich import keep_known, splittable
+from .enrich import keep_known, lookup_join
 
 
 def error_trend(errors: DataFrame, code: str, key: str, day: str) -> DataFrame:
@@ -41,7 +41,7 @@ def unresolved_keys(errors: DataFrame, code: str, key: str, day: str) -> DataFra
     spans = errors.groupBy(code, key).agg(F.min(day).alias("first_day"), F.max(day).alias("last_day"))
     newest = spans.groupBy(code).agg(F.max("last_day").alias("newest"))
     return (
-        spans.join(splittable(newest), code)
+        lookup_join(spans, newest, [code], "inner")
         .filter(F.col("last_day") == F.col("newest"))
         .select(code, key, "first_day", "last_day")
     )

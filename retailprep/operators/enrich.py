@@ -5,7 +5,7 @@ knows to be below ``spark.sql.autoBroadcastJoinThreshold``, and otherwise
 shuffles, with AQE splitting the left side of a hot key.  Looked-up sides are
 reduced to one row per key first, map-side before they are shuffled: no join
 multiplies rows, and a key repeated in a lookup does not pile up in one task.
-``splittable`` then keeps such a lookup from hindering the split.
+``lookup_join`` then keeps such a lookup from hindering the split.
 """
 
 from __future__ import annotations
@@ -20,35 +20,18 @@ from ..sources.read import find_column
 from .keys import distinct_keys
 
 
-# About 10 MB of narrow rows, Spark's own limit for a broadcast side.
-BROADCAST_ROWS = 100_000
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether the frame has at most ``max_rows`` rows; counts no further than that.
-
-    The count is a job of its own, so the frame should be cheap to compute.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """The frame with a broadcast hint if a count proves it small, else as it is.
-
-    For derived lookups (zones, price lists) whose size Spark cannot estimate.
-    """
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
-def splittable(lookup: DataFrame) -> DataFrame:
-    """A lookup whose join AQE may split when the other side has a hot key.
+def lookup_join(df: DataFrame, lookup: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join with a lookup so that AQE may split a hot key of ``df``.
 
     AQE splits a join only if both sides were shuffled for it.  A lookup that
-    was just aggregated by the join keys is not shuffled again, which pins the
-    other side to its partitions.  Coalescing to more parts than there can be
-    moves no rows but drops the known partitioning.
+    was just aggregated by the keys is not shuffled again, which pins the other
+    side to its partitions.  With the keys' hash as one more join column, the
+    aggregation's partitioning does not suffice and both sides are shuffled for
+    the join, unless Spark broadcasts the lookup.
     """
-    return lookup.coalesce(1_000_000)
+    tag = "__keys"
+    hashed = df.withColumn(tag, F.xxhash64(*keys))
+    return hashed.join(lookup.withColumn(tag, F.xxhash64(*keys)), [*keys, tag], how).drop(tag)
 
 
 def exclude_value(df: DataFrame, column: str, value: str, null_safe: bool = False) -> DataFrame:
@@ -76,12 +59,12 @@ def only(df: DataFrame, column: str, values: Sequence[str] | DataFrame | None =
 
 def keep_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is in ``known``."""
-    return df.join(splittable(distinct_keys(known, *keys)), list(keys), "left_semi")
+    return lookup_join(df, distinct_keys(known, *keys), keys, "left_semi")
 
 
 def new_rows(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``known``; a NULL key is never known."""
-    return df.join(splittable(distinct_keys(known, *keys)), list(keys), "left_anti")
+    return lookup_join(df, distinct_keys(known, *keys), keys, "left_anti")
 
 
 def active_keys(key: str, *sources: DataFrame) -> DataFrame:
@@ -122,13 +105,13 @@ def lookup_fill(
         .groupBy("__key")
         .agg(F.min(column).alias(column))
     )
-    return df.join(splittable(lookup), F.trim(df[key]) == F.col("__key"), "left").drop("__key")
+    return lookup_join(df.withColumn("__key", F.trim(key)), lookup, ["__key"]).drop("__key")
 
 
 def fill_from(df: DataFrame, ref: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """Fill gaps in ``columns`` from ``ref`` (one row per key); own values win."""
     lookup = ref.select(F.col(key).alias("__key"), *[F.col(c).alias(f"__{c}") for c in columns])
-    joined = df.join(splittable(lookup), df[key] == F.col("__key"), "left")
+    joined = lookup_join(df.withColumn("__key", F.col(key)), lookup, ["__key"])
     filled = {}
     for c in columns:
         own = find_column(df, c)
@@ -147,10 +130,10 @@ def override(
     A frame of keys (its first column) is joined; a sequence becomes an IN list.
     """
     if isinstance(keys, DataFrame):
-        listed = keys.select(F.col(keys.columns[0]).alias("__key")).distinct()
-        hit: Column = F.col("__key").isNotNull()
-        df = df.join(splittable(listed), F.col(key) == F.col("__key"), "left")
+        listed = keys.select(F.col(keys.columns[0]).alias("__key")).distinct().withColumn("__listed", F.lit(True))
+        hit: Column = F.col("__listed").isNotNull()
+        df = lookup_join(df.withColumn("__key", F.col(key)), listed, ["__key"])
     else:
         hit = F.col(key).isin(list(keys)) if keys else F.lit(False)
     out = df.withColumns({c: F.when(hit, F.lit(v)).otherwise(F.col(c)) for c, v in values.items()})
-    return out.drop("__key")
+    return out.drop("__key", "__listed")

@@ -75,8 +75,8 @@ def select_parsed(df: DataFrame, columns: Sequence[Column | str], parsed: Mappin
 
 
 def clean_name(name: str) -> str:
-    """Lower-case name of letters, digits and single inner underscores."""
-    return re.sub(r"[^a-z0-9]+", "_", re.sub(r"[^a-zA-Z0-9]", "_", str(name)).lower()).strip("_")
+    """ASCII letters and digits in lower case; whatever else stands between them is one underscore."""
+    return "_".join(re.findall(r"[A-Za-z0-9]+", str(name))).lower()
 
 
 def attribute_columns(df: DataFrame, names: Sequence[str], taken: Iterable[str]) -> list[Column]:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .enrich import broadcast_if_small, new_rows
+from .enrich import lookup_join, new_rows
 
 FACTOR = "decimal(18,6)"
 
@@ -49,6 +49,13 @@ def conversion_table(conversions: DataFrame) -> DataFrame:
     )
 
 
+def product_units(products: DataFrame) -> DataFrame:
+    """(product_code, sales_unit, group), one row per product: of repeated ones the smallest unit and group."""
+    rank = F.struct("sales_unit", "group")
+    best = products.filter(F.col("product_code").isNotNull()).groupBy("product_code").agg(F.min(rank).alias("__best"))
+    return best.select("product_code", "__best.sales_unit", "__best.group")
+
+
 def convert_units(
     stock: DataFrame,
     products: DataFrame,
@@ -59,13 +66,13 @@ def convert_units(
     """Stock amounts in each product's sales unit.
 
     ``stock`` has product_code and unit, ``products`` has product_code,
-    sales_unit and group (unique by code).  Adds ``sales_unit``, ``converted``
+    sales_unit and group.  Adds ``sales_unit``, ``converted``
     and ``status``: same, converted, ambiguous, missing or unknown_product.
     An ambiguous or missing conversion leaves the amount NULL.  Most products may
-    share one group, so the conversions are broadcast where a count allows it.
+    share one group: the join is one that AQE may split.
     """
-    master = products.select("product_code", "sales_unit", F.col("group").alias("__group"))
-    table = broadcast_if_small(conversion_table(conversions)).select(
+    master = product_units(products).withColumnRenamed("group", "__group")
+    table = conversion_table(conversions).select(
         F.col("group").alias("__group"),
         F.col("from_unit").alias("unit"),
         F.col("to_unit").alias("sales_unit"),
@@ -73,7 +80,7 @@ def convert_units(
         "divide",
         "versions",
     )
-    joined = stock.join(master, "product_code", "left").join(table, ["__group", "unit", "sales_unit"], "left")
+    joined = lookup_join(lookup_join(stock, master, ["product_code"]), table, ["__group", "unit", "sales_unit"])
     status = (
         F.when(F.col("sales_unit").isNull(), "unknown_product")
         .when(F.col("unit") == F.col("sales_unit"), "same")
@@ -95,11 +102,9 @@ def missing_conversions(
     stock: DataFrame, products: DataFrame, conversions: DataFrame, context: Sequence[str]
 ) -> DataFrame:
     """Stock rows and products without a way to their sales unit, per context (warehouse, store, in transit)."""
-    needed = (
-        stock.join(products.select("product_code", "sales_unit", "group"), "product_code")
-        .filter(F.col("unit") != F.col("sales_unit"))
-    )
-    table = broadcast_if_small(conversion_table(conversions)).select(
+    needed = lookup_join(stock, product_units(products), ["product_code"], "inner")
+    needed = needed.filter(F.col("unit") != F.col("sales_unit"))
+    table = conversion_table(conversions).select(
         "group", F.col("from_unit").alias("unit"), F.col("to_unit").alias("sales_unit")
     )
     gaps = new_rows(needed, table, ["group", "unit", "sales_unit"])

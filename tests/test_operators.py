@@ -20,10 +20,8 @@ from retailprep.operators.attributes import (
 )
 from retailprep.operators.enrich import (
     active_keys,
-    broadcast_if_small,
     exclude_value,
     fill_from,
-    is_small,
     keep_active,
     keep_known,
     lookup_fill,
@@ -108,14 +106,6 @@ def test_membership(spark):
     assert rows(keep_active(df, active, "k")) == [("a", 1, 1), ("a", 2, 1), ("b", 3, 1)]
 
 
-def test_small_frames_only_are_broadcast(spark):
-    df = spark.range(100)
-    assert is_small(df, 100)
-    assert not is_small(df, 99)
-    assert "ResolvedHint" in broadcast_if_small(df, 100)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in broadcast_if_small(df, 99)._jdf.queryExecution().analyzed().toString()
-
-
 def test_lookup_fill(spark):
     df = frame(spark, "store_code string", (" S1",), ("S2",), ("S3",), (None,))
     ref = frame(spark, "store_code string, c string", ("S1 ", "9"), ("S1", "7"), ("S2", None), ("S3", "x"), (None, "1"))
@@ -239,9 +229,38 @@ def test_consensus_as_tuple_takes_one_row(spark):
     assert out.dtypes == df.dtypes
 
 
-def test_consensus_without_conflict_changes_nothing(spark):
+def test_consensus_as_tuple_prefers_values(spark):
+    gaps = [("p", None, None, i) for i in range(5)]
+    df = frame(spark, "p string, n string, c int, id int", *gaps, ("p", "a", None, 5), ("p", "a", 1, 6), ("q", None, None, 7), ("q", None, None, 8))
+    out = consensus(df, "p", ["n", "c"], as_tuple=True)
+    assert rows(out) == rows(df)  # no parent disagrees
+    both = df.unionByName(frame(spark, "p string, n string, c int, id int", ("r", "x", 1, 9), ("r", "y", 1, 10)))
+    got = {r["p"]: (r["n"], r["c"]) for r in consensus(both, "p", ["n", "c"], as_tuple=True).collect()}
+    assert got == {"p": ("a", 1), "q": (None, None), "r": ("x", 1)}
+
+
+@pytest.mark.parametrize("as_tuple", [False, True])
+def test_consensus_without_conflict_changes_nothing(spark, as_tuple):
     df = frame(spark, "p string, n string, id int", ("p", "a", 1), ("p", None, 2), ("q", "b", 3))
-    assert rows(consensus(df, "p", ["n"])) == rows(df)
+    assert rows(consensus(df, "p", ["n"], as_tuple)) == rows(df)
+
+
+def test_deliveries_count_moved_and_missing_variants(spark):
+    a = frame(spark, "v string, p string", ("v1", "p1"), ("v2", "p1"), ("v2", "p2"), (None, "p3"), ("v3", None))
+    b = frame(spark, "v string, p string", ("v1", "p2"), (None, None), ("v4", "p4"))
+    got = D.compare_deliveries(a, b, "v", "p").first().asDict()
+    assert got == {
+        "rows_a": 5, "rows_b": 3, "variants_a": 3, "variants_b": 2, "variants_common": 1,
+        "parents_a": 3, "parents_b": 2, "parents_common": 1,
+    }
+
+
+def test_repeated_products_do_not_multiply_stock(spark):
+    stock = frame(spark, "product_code string, unit string, amount decimal(15,3)", ("x", "SZT", Decimal(6)), ("y", "SZT", Decimal(1)))
+    products = frame(spark, "product_code string, sales_unit string, `group` string", ("x", "6PAK", "g"), ("x", "PAR", "g"), ("x", "6PAK", "g"))
+    rules = frame(spark, "`group` string, from_unit string, to_unit string, factor int", ("g", "SZT", "6PAK", 6))
+    got = rows(units.convert_units(stock, products, rules).select("product_code", "sales_unit", "status"))
+    assert got == [("x", "6PAK", "converted"), ("y", None, "unknown_product")]
 
 
 def test_consensus_equals_counting(spark):
