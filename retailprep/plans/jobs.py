@@ -16,7 +16,7 @@ from ..operators.quality import check_not_empty, duplicate_keys
 from ..operators.schema import check_columns
 from ..session import settle
 from ..sources.read import find_column, first_column, optional, read_dictionary, read_feed, read_latest
-from ..sources.write import publish
+from ..sources.write import check_outputs, publish
 from . import price, product, sales, stock, store
 
 Reports = dict[str, DataFrame]
@@ -31,6 +31,7 @@ def import_stores(
     calendar: str | None = None,
     force_active: Sequence[str] = (),
     mode: str = "FULL",
+    null_token: str | None = None,
 ) -> Reports:
     raw = check_not_empty(check_columns(read_feed(spark, stores), store.REQUIRED, "store"), "store")
     community_rows = calendar_rows = None
@@ -40,7 +41,7 @@ def import_stores(
     if calendar:
         ddl = "store_code string, opening_date date, closing_date date"
         calendar_rows = optional(lambda: read_feed(spark, calendar, schema=ddl), ddl, spark)
-    feed = store.store_feed(raw, community_rows, calendar_rows, force_active)
+    feed = store.store_feed(raw, community_rows, calendar_rows, force_active, null_token=null_token)
     publish(feed, full, sample, mode, sample_order=["external_id"], order_by=["external_id"])
     return {"quality": store.store_report(raw), "totals": store.store_totals(raw, force_active)}
 
@@ -68,6 +69,7 @@ def import_products(
     sample: str | None = None,
     kind: str = "FULL",
     mode: str = "FULL",
+    as_tuple: bool = False,
 ) -> Reports:
     """``kind`` DELTA publishes only products the dictionary does not have; ``year`` dates the season report."""
     if kind not in ("FULL", "DELTA"):
@@ -81,7 +83,7 @@ def import_products(
     known = known_products(spark, dictionary)
     active = settle(active_keys("product_code", *sources, known))
     enriched, names = product.enriched_products(
-        raw, read_feed(spark, attributes), read_feed(spark, definitions), active, settled=True
+        raw, read_feed(spark, attributes), read_feed(spark, definitions), active, settled=True, as_tuple=as_tuple
     )
     feed = product.product_output(enriched, names, known if kind == "DELTA" else None)
     order = ["parent_product_code", "external_id"]
@@ -111,8 +113,10 @@ def import_prices(
     min_date: str | None = None,
     currency: str | None = None,
     mode: str = "FULL",
+    compare: Sequence[str] = ("end_date",),
 ) -> Reports:
     """One folder per price list; with ``price_dictionary`` only new and changed prices (DELTA)."""
+    check_outputs(full, sample, mode)
     known = None
     if price_dictionary:
         ddl = "name string, product_code string, start_date date, end_date date, value decimal(15,2)"
@@ -127,11 +131,12 @@ def import_prices(
             min_date,
             currency,
             known,
+            compare,
         )
     )
     keys = ["product_code", "start_date"]
     publish(
-        price.price_output(feed), full, sample, mode, sample_order=keys, sample_by="name", partition_by="name"
+        price.price_output(feed), full, sample, mode, sample_order=keys, sample_by="name", partition_by="name", settled=True
     )
     return {"lists": price.price_totals(feed), "totals": price.export_totals(feed)}
 
@@ -145,9 +150,10 @@ def import_store_stock(
     name: str | None = None,
     drop_zero: bool = False,
     mode: str = "FULL",
+    strict: bool = True,
 ) -> Reports:
     raw = read_latest(spark, folder, "inventory_", file_mode, name, trim=True)
-    feed = stock.store_stock_feed(raw, drop_zero)
+    feed = stock.store_stock_feed(raw, drop_zero, strict)
     publish(feed, full, sample, mode, sample_order=["point_of_sale_code", "product_code"])
     return {}
 
@@ -178,7 +184,7 @@ def import_inbound(
 
 def import_sales(
     spark: SparkSession,
-    transactions: str | list[str],
+    transactions: str | list[str] | None,
     stores: str,
     base: str,
     retail: str,
@@ -189,17 +195,36 @@ def import_sales(
     keys: Sequence[str] = (),
     sep: str = ";",
     mode: str = "FULL",
+    folder: str | None = None,
+    file_mode: str = "LATEST",
+    name: str | None = None,
 ) -> Reports:
-    """``is_return`` marks returned rows of the transaction files; ``keys`` identify a sale."""
-    raw = check_columns(read_feed(spark, transactions, sep=sep), sales.REQUIRED, "sales")
+    """``is_return`` marks returned rows of the transaction files; ``keys`` identify a sale.
+
+    Without ``transactions`` the newest ``transactional_sales_`` delivery of
+    ``folder`` is read (LATEST), or the one called ``name`` (MANUAL).
+    """
+    check_outputs(full, sample, mode)
+    if transactions:
+        read = read_feed(spark, transactions, sep=sep)
+    elif folder:
+        read = read_latest(spark, folder, "transactional_sales_", file_mode, name, sep=sep)
+    else:
+        raise ValueError("sales need transactions or a folder")
+    raw = check_columns(read, sales.REQUIRED, "sales")
+    store_rows = read_feed(spark, stores)
+    base_prices, retail_prices = (price.price_clean(read_feed(spark, p, sep="|")) for p in (base, retail))
     feed = sales.sales_feed(
         raw,
-        read_feed(spark, stores),
-        price.price_clean(read_feed(spark, base, sep="|")),
-        price.price_clean(read_feed(spark, retail, sep="|")),
+        store_rows,
+        base_prices,
+        retail_prices,
         is_return,
         online,
         keys,
     )
     publish(feed, full, sample, mode, sample_order=[*keys, "store_code", "product_code", "sale_date"])
-    return {"rows": feed.agg(F.count(F.lit(1)).alias("rows"))}
+    return {
+        "rows": feed.agg(F.count(F.lit(1)).alias("rows")),
+        "unmatched": sales.unmatched_codes(raw, store_rows, base_prices, retail_prices),
+    }

@@ -12,12 +12,13 @@ from pyspark.sql.window import Window
 from ..functions.retail import CLOSED
 from ..functions.text import DATE_FORMATS, map_value, parse_date, parse_decimal, strip_last
 from ..operators.delta import delta
-from ..operators.enrich import exclude_value, is_small, keep_known, only, since, stack
+from ..operators.enrich import exclude_value, keep_known, only, since, stack
 from ..operators.keys import distinct_keys
 from ..operators.schema import check_columns, select_parsed
 from ..operators.temporal import lowest_value, validity
 from ..sources.read import find_column, first_column
 
+# Fixed values of the contract.
 REQUIRED = ("store_agg_level_code", "product_agg_level_code", "price_date", "price_with_tax")
 VALUE = (15, 2)
 
@@ -25,6 +26,7 @@ VALUE = (15, 2)
 LIST_PREFIX = {"base": "Cennik_bazowy_", "retail": "Cennik_promocyjny_"}
 PRICE_TYPE = {"base": "100", "retail": "200"}
 
+# Fixed values of the contract.
 COLUMNS = (
     "name",
     "external_id",
@@ -119,17 +121,13 @@ def with_name(prices: DataFrame) -> DataFrame:
     return prices.withColumn("name", F.concat(map_value("source", LIST_PREFIX), F.col("market_code")))
 
 
-def with_priority(prices: DataFrame, few_lists: bool = False) -> DataFrame:
-    """Add the list name and its priority among the lists that have prices.
-
-    ``few_lists`` says that the number of lists was checked, so that the ranked
-    names may be broadcast.
-    """
+def with_priority(prices: DataFrame) -> DataFrame:
+    """Add the list name and its priority among the lists that have prices."""
     named = with_name(prices)
     # the filter is always true; it keeps the value in this branch, so that both read one shuffle of the prices
     ranked = rank_names(named.filter(F.col("value") > 0), "name")
     # every name has a rank; an inner join would push a null check on the built name down to the scan
-    return named.join(F.broadcast(ranked) if few_lists else ranked, "name", "left")
+    return named.join(ranked, "name", "left")
 
 
 def price_feed(
@@ -141,18 +139,18 @@ def price_feed(
     min_date: dt.date | str | None = None,
     currency: str | None = None,
     known: DataFrame | None = None,
+    compare: Sequence[str] = ("end_date",),
 ) -> DataFrame:
     """The price feed; with ``known`` (the price dictionary) only new and changed rows (DELTA).
 
     A price is valid until the day before the product's next one in the list.
-    Priorities rank all lists, also for a delta.
+    Priorities rank all lists, also for a delta.  A known row counts as changed
+    if one of the columns ``compare`` (end_date, value) differs.
     """
     served = served_zones(stores, zones)
-    few = is_small(served)
-    prices = current_prices(base, retail, F.broadcast(served) if few else served, products, min_date, currency)
+    prices = current_prices(base, retail, served, products, min_date, currency)
     dated = validity(prices, ["source", "market_code", "product_code"], "start_date")
-    # every list comes from a served zone, so their number bounds the lists
-    full = with_priority(dated, few_lists=few).select(
+    full = with_priority(dated).select(
         "name",
         F.col("name").alias("external_id"),
         map_value("source", PRICE_TYPE).alias("price_type_id"),
@@ -166,7 +164,7 @@ def price_feed(
     )
     if known is None:
         return full
-    return delta(full, known_prices(known), ["name", "product_code", "start_date"], ["end_date"])
+    return delta(full, known_prices(known), ["name", "product_code", "start_date"], list(compare))
 
 
 def known_prices(dictionary: DataFrame) -> DataFrame:
@@ -187,7 +185,7 @@ def price_output(prices: DataFrame) -> DataFrame:
 
 
 def price_totals(prices: DataFrame) -> DataFrame:
-    """Rows per list with the number of products, and the list's priority."""
+    """Rows per list and its priority."""
     return prices.groupBy("name").agg(F.count(F.lit(1)).alias("rows"), F.max("priority").alias("priority"))
 
 

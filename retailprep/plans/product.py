@@ -18,6 +18,7 @@ from ..operators.schema import Spec, attribute_columns, check_columns, clean_nam
 from ..session import settle
 from ..sources.read import find_column, with_columns_or_null
 
+# Fixed values of the contract.
 REQUIRED = (
     "product_code",
     "option_code",
@@ -27,6 +28,7 @@ REQUIRED = (
     "product_group_1_code",
     "product_group_1_description",
 )
+# Fixed values of the contract.
 TECHNICAL_GROUP = "-1"
 NUMBERS = {"tax_rate": (7, 4), "price_with_tax": (10, 2), "cogs": (10, 2)}
 
@@ -124,12 +126,14 @@ def enriched_products(
     active: DataFrame,
     attribute_names: Sequence[str] | None = None,
     settled: bool = False,
+    as_tuple: bool = False,
 ) -> tuple[DataFrame, list[str]]:
     """Active products with attributes, numbers, SKU and categories their siblings agree on.
 
     Also returns the names of the attributes that came with them.  The vote on
     categories reads the products twice; ``settled`` writes them to the shared
-    folder first, so that they are computed once.
+    folder first, so that they are computed once.  ``as_tuple`` lets siblings
+    vote on all categories together.
     """
     products = active_catalogue(raw, active)
     optional = [*NUMBERS, "product_group_4_description"]
@@ -151,7 +155,7 @@ def enriched_products(
     if settled:
         df = settle(df)
     voted = [*_group_columns(df), "category_level5_name", "category_level5_code"]
-    return consensus(df, "option_code", voted), names
+    return consensus(df, "option_code", voted, as_tuple), names
 
 
 def product_feed(

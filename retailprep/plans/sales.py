@@ -16,10 +16,11 @@ from pyspark.sql import functions as F
 
 from ..functions.retail import market_code, normalise_country, signed
 from ..functions.text import DATE_FORMATS, parse_date, parse_decimal
-from ..operators.enrich import broadcast_if_small
+from ..operators.enrich import lookup_join
 from ..operators.keys import first_rows
 from ..operators.schema import check_columns
 from ..operators.temporal import asof_join, price_fallback
+from ..session import settle
 
 REQUIRED = ("store_code", "product_code", "sale_date", "quantity", "value")
 MONEY = "decimal(13,2)"
@@ -34,9 +35,11 @@ def sign_returns(df: DataFrame, is_return: Column, columns: Sequence[str]) -> Da
 def _zone_prices(sold: DataFrame, base: DataFrame, retail: DataFrame) -> DataFrame:
     """Both prices per distinct product, pair of zones and day.
 
-    Looking prices up here, not per sale, shuffles the sales once instead of once per list.
+    Looking prices up here, not per sale, shuffles the sales once instead of
+    once per list.  What is distinct is written once: both lookups read it, not
+    the sales.
     """
-    out = sold.select(*PRICED_BY).distinct()
+    out = settle(sold.select(*PRICED_BY).distinct())
     for zone, quotes, price in (("first_price", base, "price_base"), ("actual_price", retail, "price_promo")):
         day = f"{price}_date"
         lists = quotes.select(
@@ -62,12 +65,13 @@ def sales_feed(
 
     ``stores`` gives country and price zones, ``base`` and ``retail`` are clean
     prices (product_code, zone, start_date, value).  ``keys`` pass through.
+    Codes are trimmed.
     """
     check_columns(sales, REQUIRED, "sales")
     order = [F.col(c).asc_nulls_last() for c in ("country", "first_price", "actual_price")]
     zones = first_rows(
         stores.select(
-            "store_code",
+            F.trim("store_code").alias("store_code"),
             "country",
             F.trim("first_price").alias("first_price"),
             F.trim("actual_price").alias("actual_price"),
@@ -80,7 +84,8 @@ def sales_feed(
     if "sale_date" in text:
         typed["sale_date"] = parse_date("sale_date", DATE_FORMATS)
     sold = sign_returns(sales.withColumns(typed), is_return, ["quantity", "value"])
-    sold = sold.select(*keys, *REQUIRED).join(broadcast_if_small(zones), "store_code", "left")
+    sold = sold.select(*keys, *REQUIRED).withColumns({c: F.trim(c) for c in ("store_code", "product_code")})
+    sold = lookup_join(sold, zones, ["store_code"])
     priced = sold.join(
         _zone_prices(sold, base, retail),
         reduce(lambda x, y: x & y, [sold[c].eqNullSafe(F.col(f"__{c}")) for c in PRICED_BY]),
@@ -99,3 +104,18 @@ def sales_feed(
         F.col("price_promo").try_cast(MONEY).alias("price_promo"),
         price_fallback("price_promo", "price_base", unit_price).try_cast(MONEY).alias("price"),
     )
+
+
+def unmatched_codes(sales: DataFrame, stores: DataFrame, base: DataFrame, retail: DataFrame) -> DataFrame:
+    """One row: sales, those of a store that is not listed, and those of a product without any price."""
+    trimmed = {c: F.trim(c) for c in ("store_code", "product_code")}
+    sold = sales.select(*trimmed).withColumns(trimmed).groupBy(*trimmed).agg(F.count(F.lit(1)).alias("n"))
+    listed = stores.select(F.trim("store_code").alias("store_code")).distinct().withColumn("listed", F.lit(1))
+    priced = base.select("product_code").unionByName(retail.select("product_code"))
+    priced = priced.select(F.trim("product_code").alias("product_code")).distinct().withColumn("priced", F.lit(1))
+    joined = lookup_join(lookup_join(sold, listed, ["store_code"]), priced, ["product_code"])
+    return joined.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("sales"),
+        F.coalesce(F.sum(F.when(F.col("listed").isNull(), F.col("n"))), F.lit(0)).alias("unknown_store"),
+        F.coalesce(F.sum(F.when(F.col("priced").isNull(), F.col("n"))), F.lit(0)).alias("without_price"),
+    )

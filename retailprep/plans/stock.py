@@ -12,6 +12,7 @@ from ..operators.schema import Spec, check_columns, conform
 
 UNIT = "ST"
 
+# Fixed values of the contract.
 STOCK_REQUIRED = ("store_code", "product_code", "inventory", "inventory_date", "stock_cost", "currency")
 WAREHOUSE_REQUIRED = ("inventory_warehouse_date", "warehouse_code", "product_code", "inventory")
 ORDERS_REQUIRED = ("destination_code", "product_code", "quantity_ordered", "estimated_arrival_date")

@@ -23,6 +23,7 @@ from ..operators.quality import Check, blank_check, quality_report, require_keys
 from ..operators.schema import Spec, check_columns, conform
 from ..sources.read import find_column, with_columns_or_null
 
+# Fixed values of the contract.
 REQUIRED = ("store_code", "store_description")
 
 # Target columns of the store feed.
@@ -118,8 +119,12 @@ def store_feed(
     communities: DataFrame | None = None,
     calendar: DataFrame | None = None,
     force_active: Sequence[str] | DataFrame = (),
+    null_token: str | None = None,
 ) -> DataFrame:
-    """The store feed: physical stores with flags, market zone and a four-level hierarchy."""
+    """The store feed: physical stores with flags, market zone and a four-level hierarchy.
+
+    ``null_token`` stands for missing levels in the codes and so keeps paths apart.
+    """
     df = exclude_value(store_base(raw, communities, calendar, force_active), "country", ONLINE)
     levels = [
         map_value("country", COUNTRY_NAMES),
@@ -127,7 +132,7 @@ def store_feed(
         blank_to_null("building_type"),
         F.trim("store_code"),
     ]
-    return conform(hierarchy(df, levels), STORE)
+    return conform(hierarchy(df, levels, null_token=null_token), STORE)
 
 
 def store_report(raw: DataFrame) -> DataFrame:

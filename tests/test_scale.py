@@ -15,7 +15,9 @@ from retailprep.operators.enrich import exclude_value, keep_known, new_rows, sin
 from retailprep.operators.keys import latest_by, sample_per_group
 from retailprep.operators.quality import blank_check, quality_report
 from retailprep.operators.temporal import asof_join, lowest_value
+from retailprep.operators.units import convert_units
 from retailprep.plans.price import price_feed
+from retailprep.plans.sales import sales_feed
 from retailprep.sources import read_feed, write_feed
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -175,3 +177,32 @@ def test_broadcastable_checks_run_before_the_aggregation(spark, tmp_path, hot):
     with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
         plan = planned(keep_known(lowest_value(rows, ["k", "d"], "id"), known, ["k"]))
     assert plan.index("SortMergeJoin") < plan.index("partial_min")
+
+
+def test_sales_are_read_twice_and_hot_stores_split(spark, tmp_path):
+    days = F.date_format(F.date_add(F.lit(date(2024, 1, 1)), (F.col("id") % 90).cast("int")), "yyyy-MM-dd")
+    store = F.when(F.col("id") % 10 > 0, " hot").otherwise(F.concat(F.lit("S"), F.col("id") % 700))
+    product = F.concat(F.lit("P"), F.col("id") % 50)
+    sold = spark.range(200_000).select("id", store.alias("store_code"), product.alias("product_code"), days.alias("sale_date"), F.lit("1").alias("quantity"), F.lit("10,0").alias("value"), F.repeat(F.lit("x"), 50).alias("payload"))
+    sold.write.parquet(str(tmp_path / "sales"))
+    stores = spark.range(700).select(F.concat(F.lit("S"), "id").alias("store_code"), F.lit("PL").alias("country"), F.lit("Z").alias("first_price"), F.lit("Z").alias("actual_price"))
+    stores = stores.unionByName(stores.limit(1).withColumn("store_code", F.lit("hot ")))
+    quotes = spark.range(50).select(F.concat(F.lit("P"), "id").alias("product_code"), F.lit("Z").alias("zone"), F.lit(date(2024, 1, 1)).alias("start_date"), F.lit(5).cast("decimal(13,2)").alias("value"))
+    with tiny_skew(spark):
+        out = sales_feed(spark.read.parquet(str(tmp_path / "sales")), stores, quotes, quotes, F.lit(False), keys=["id"])
+        plan = final_plan(out)
+        assert "skewed" in plan
+    # once here; the distinct products, zones and days were read and settled before
+    assert len(re.findall(r"FileScan parquet .*store_code", plan)) == 1
+    assert out.count() == 200_000
+    assert out.filter("price_promo IS NULL").isEmpty()
+
+
+def test_hot_conversion_group_is_split(spark):
+    stock = spark.range(200_000).select("id", F.concat(F.lit("P"), F.col("id") % 5000).alias("product_code"), F.lit("SZT").alias("unit"), F.lit(6).cast("decimal(15,3)").alias("amount"))
+    products = spark.range(5000).select(F.concat(F.lit("P"), "id").alias("product_code"), F.lit("6PAK").alias("sales_unit"), F.when(F.col("id") % 10 > 0, "hot").otherwise(F.concat(F.lit("g"), "id")).alias("group"))
+    rules = products.select("group").distinct().select("group", F.lit("SZT").alias("from_unit"), F.lit("6PAK").alias("to_unit"), F.lit(6).alias("factor"))
+    with tiny_skew(spark):
+        out = convert_units(stock, products, rules)
+        assert "skewed" in final_plan(out)
+        assert out.groupBy("status").count().collect() == [("converted", 200_000)]
