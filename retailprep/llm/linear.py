@@ -32,6 +32,7 @@ class Settings:
 
     ``fit_rows``: expected size of the sample that the weights are fitted on.
     ``fit_features``: rows of the sample are used until they hold so many features.
+    ``smoothing`` and ``sigmas``: see ``ratios``.
     ``cost``: the penalty of an error; that of the rarer class is raised so that
     both classes weigh the same.  ``squared``: squared hinge loss.
     """
@@ -40,16 +41,22 @@ class Settings:
     fit_rows: int = 8192
     fit_features: int = 24_000_000
     smoothing: float = 1.0
+    sigmas: float = 3.0
     cost: float = 1.0
     squared: bool = False
     epochs: int = 12
 
 
-def ratios(counts: np.ndarray, smoothing: float) -> np.ndarray:
-    """Log of the smoothed share of each feature in class 1 against class 0; counts: 2 x features."""
-    share = counts + smoothing
-    share = share / share.sum(axis=1, keepdims=True)
-    return np.log(share[1]) - np.log(share[0])
+def ratios(counts: np.ndarray, smoothing: float, sigmas: float) -> np.ndarray:
+    """Log of the smoothed share of each feature in class 1 against class 0; counts: 2 x features.
+
+    A ratio within ``sigmas`` standard errors of zero is zero: the many rare
+    n-grams of long documents would drown the few that tell.
+    """
+    known = counts + smoothing
+    share = known / known.sum(axis=1, keepdims=True)
+    ratio = np.log(share[1]) - np.log(share[0])
+    return np.where(np.abs(ratio) >= sigmas * np.sqrt((1 / known).sum(axis=0)), ratio, 0.0)
 
 
 def fit(rows: list[np.ndarray], labels: np.ndarray, scale: np.ndarray, settings: Settings) -> tuple[np.ndarray, float]:
@@ -198,7 +205,7 @@ def train(texts: DataFrame, features: Features, settings: Settings) -> Model:
     ones = texts.where("label = 1").select("label").count() if total else 0
     if not 0 < ones < total:
         return Model(np.zeros(size), np.zeros(size), 0.0, (ones + 1) / (total + 2))
-    scale = ratios(counts, settings.smoothing)
+    scale = ratios(counts, settings.smoothing, settings.sigmas)
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple[float, int, np.ndarray]] = []
