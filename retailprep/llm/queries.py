@@ -144,3 +144,27 @@ def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
+
+
+SQL["op6_vectors"] = """
+WITH RECURSIVE v AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS w, label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0 AS usable
+    FROM embeddings
+),
+links AS (
+    SELECT a.vec_id AS a, b.vec_id AS b
+    FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.w) = len(b.w)
+    WHERE a.usable AND b.usable AND list_cosine_similarity(a.w, b.w) >= 0.98
+),
+reached(a, b) AS (
+    SELECT vec_id, vec_id FROM v
+    UNION
+    SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a
+),
+named AS (SELECT a AS vec_id, min(b) AS component_id FROM reached GROUP BY a),
+counted AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM named LEFT JOIN counted USING (vec_id)
+"""
