@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..session import settle
 from .components import looked_up
-from .text import BASE, POWERS, SECOND, SLICE_BYTES, THIRD, flat, mixed, runs_of_rows
+from .text import POWERS, SECOND, SLICE_BYTES, THIRD, flat, mixed, parts_of, runs_of_rows
 
 LEAST_BYTES = 50
 MOST_WINDOWS = 27
@@ -147,7 +147,7 @@ def sent_units(least: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple[np.ndarray, ...]] = []
         count = 0
-        for batch in batches:
+        for batch in parts_of(batches):
             place = batch.column("place").to_numpy()
             for _, first, _, row, _, _, _, hashes, unit in unit_runs(batch.column("data"), least):
                 held.append((hashes, unit, place[first + row]))
@@ -234,7 +234,7 @@ def fragments(least: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split: list[tuple] = []
-        for batch in batches:
+        for batch in parts_of(batches):
             places = batch.column("place").to_pylist()
             wanted = [(np.array(u, np.int64).view(np.uint64), np.array(f, np.int32)) for u, f in zip(batch.column("units").to_pylist(), batch.column("fates").to_pylist(), strict=True)]
             out: list[tuple] = []
@@ -462,7 +462,7 @@ def cut_out(least: int, by_characters: bool):
     """(kept, spans) of each text and the masks of its units."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts_of(batches):
             n = batch.num_rows
             names, masks = batch.column("units").to_pylist(), batch.column("masks").to_pylist()
             cover: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}

@@ -63,6 +63,13 @@ def flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
+def parts_of(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Batches of at most so many rows, so that what is made of a batch stays small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def runs_of_rows(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most ``limit`` bytes together, or of one longer row."""
     first, n = 0, len(offsets) - 1
