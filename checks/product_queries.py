@@ -102,6 +102,38 @@ def _(t):
     return keep_active(t.product_raw, keys, "product_code").select("product_code", "size_code", "is_active")
 
 
+@query(
+    "dictionary_schemas",
+    """SELECT DISTINCT code AS product_code, value FROM (
+        SELECT CAST(p_partkey AS VARCHAR) AS code, CAST(p_retailprice AS DECIMAL(15,2)) AS value FROM part WHERE p_size <= 10
+        UNION ALL SELECT 'X' || CAST(p_partkey AS VARCHAR), CAST(p_retailprice + 1 AS DECIMAL(15,2)) FROM part WHERE p_size BETWEEN 11 AND 20
+        UNION ALL SELECT CAST(p_partkey AS VARCHAR), NULL FROM part WHERE p_size BETWEEN 21 AND 30
+        UNION ALL SELECT CASE WHEN p_size % 2 = 0 THEN CAST(p_partkey AS VARCHAR) END, CAST(p_size AS DECIMAL(15,2))
+            FROM part WHERE p_size > 30)""",
+)
+def _(t):
+    # four snapshots, each under the names and types of its day
+    path = scratch_path(t.spark, "dictionaries/known")
+    for day, shape in (
+        ("2026-03-01", "SELECT CAST(p_partkey AS STRING) AS Product_Code, p_name AS code, p_retailprice AS value FROM {part} WHERE p_size <= 10"),
+        (
+            "2026-03-02",
+            "SELECT 'X' || CAST(p_partkey AS STRING) AS external_id, CAST(p_retailprice + 1 AS STRING) AS price FROM {part}"
+            " WHERE p_size BETWEEN 11 AND 20",
+        ),
+        ("2026-03-03", "SELECT p_partkey AS code FROM {part} WHERE p_size BETWEEN 21 AND 30"),
+        # its own product_code counts, also where it is NULL and another name is not
+        (
+            "2026-03-04",
+            "SELECT CASE WHEN p_size % 2 = 0 THEN p_partkey END AS product_code, p_name AS external_id, p_size AS value FROM {part}"
+            " WHERE p_size > 30",
+        ),
+    ):
+        t.spark.sql(shape, part=t.part).write.parquet(f"{path}/{day}")
+    columns = {**product.DICTIONARY, "value": (("value", "price"), "decimal(15,2)")}
+    return read_dictionary(t.spark, path, columns, absent="null").distinct()
+
+
 @query(
     "product_delta",
     with_clause("product_raw", "known_product")

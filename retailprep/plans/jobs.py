@@ -15,7 +15,7 @@ from ..operators.enrich import active_keys
 from ..operators.quality import check_not_empty, duplicate_keys
 from ..operators.schema import check_columns
 from ..session import settle
-from ..sources.read import find_column, first_column, optional, read_dictionary, read_feed, read_latest
+from ..sources.read import find_column, optional, read_dictionary, read_feed, read_latest
 from ..sources.write import check_outputs, publish
 from . import price, product, sales, stock, store
 
@@ -47,13 +47,8 @@ def import_stores(
 
 
 def known_products(spark: SparkSession, dictionary: str) -> DataFrame:
-    """Distinct codes of the product dictionary, empty before the first delivery."""
-
-    def codes() -> DataFrame:
-        df = read_dictionary(spark, dictionary)
-        return df.select(first_column(df, "product_code", "external_id", "code").alias("product_code")).distinct()
-
-    return optional(codes, "product_code string", spark)
+    """Distinct codes of the product dictionary, each snapshot under its own names; empty before the first delivery."""
+    return optional(lambda: read_dictionary(spark, dictionary, product.DICTIONARY).distinct(), "product_code string", spark)
 
 
 def import_products(
@@ -120,13 +115,13 @@ def import_prices(
     known = None
     if price_dictionary:
         ddl = "name string, product_code string, start_date date, end_date date, value decimal(15,2)"
-        known = optional(lambda: price.known_prices(read_dictionary(spark, price_dictionary)), ddl, spark)
+        known = optional(lambda: price.known_prices(read_dictionary(spark, price_dictionary, price.DICTIONARY)), ddl, spark)
     feed = settle(
         price.price_feed(
             read_feed(spark, base, sep="|"),
             read_feed(spark, retail, sep="|"),
             read_feed(spark, stores),
-            read_dictionary(spark, product_dictionary),
+            read_dictionary(spark, product_dictionary, price.PRODUCTS),
             zones,
             min_date,
             currency,

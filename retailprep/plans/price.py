@@ -40,6 +40,16 @@ COLUMNS = (
     "priority",
 )
 
+# The names the dictionaries' columns have had.
+DICTIONARY = {
+    "name": (("name", "external_id"), "string"),
+    "product_code": (("product_code", "code"), "string"),
+    "start_date": (("start_date", "valid_from"), "date"),
+    "end_date": (("end_date", "valid_to"), "date"),
+    "value": (("value", "price"), "decimal(15,2)"),
+}
+PRODUCTS = {"product_code": (("product_code", "code"), "string")}
+
 
 def open_stores(stores: DataFrame) -> DataFrame:
     """Stores that are not closed; a store without a class is open."""
@@ -169,13 +179,9 @@ def price_feed(
 
 def known_prices(dictionary: DataFrame) -> DataFrame:
     """The price dictionary under the feed's own names, whichever of its schemas it has."""
-    return dictionary.select(
-        first_column(dictionary, "name", "external_id").alias("name"),
-        F.trim(first_column(dictionary, "product_code", "code")).alias("product_code"),
-        first_column(dictionary, "start_date", "valid_from").try_cast("date").alias("start_date"),
-        first_column(dictionary, "end_date", "valid_to").try_cast("date").alias("end_date"),
-        first_column(dictionary, "value", "price").try_cast("decimal(15,2)").alias("value"),
-    )
+    columns = {target: first_column(dictionary, *names).try_cast(dtype) for target, (names, dtype) in DICTIONARY.items()}
+    columns["product_code"] = F.trim(columns["product_code"])
+    return dictionary.select(*[value.alias(target) for target, value in columns.items()])
 
 
 def price_output(prices: DataFrame) -> DataFrame:

@@ -30,6 +30,8 @@ REQUIRED = (
 )
 # Fixed values of the contract.
 TECHNICAL_GROUP = "-1"
+# The names the dictionary's code has had.
+DICTIONARY = {"product_code": (("product_code", "external_id", "code"), "string")}
 NUMBERS = {"tax_rate": (7, 4), "price_with_tax": (10, 2), "cogs": (10, 2)}
 
 # Target columns of the product feed.

@@ -1,5 +1,6 @@
 from .manifest import file_manifest, write_manifest
 from .read import (
+    MissingNames,
     column_or_null,
     find_column,
     first_column,
@@ -9,11 +10,13 @@ from .read import (
     read_dictionary,
     read_feed,
     read_latest,
+    schema_groups,
     with_columns_or_null,
 )
 from .write import publish, write_feed
 
 __all__ = [
+    "MissingNames",
     "column_or_null",
     "file_manifest",
     "find_column",
@@ -25,6 +28,7 @@ __all__ = [
     "read_dictionary",
     "read_feed",
     "read_latest",
+    "schema_groups",
     "with_columns_or_null",
     "write_feed",
     "write_manifest",

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -102,13 +105,71 @@ def read_latest(
     return read_feed(spark, path, **options)
 
 
-def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
+# What a column is made of: the alternative names it has had, first come first, and its type.
+Alternatives = Mapping[str, tuple[Sequence[str], str]]
+
+# Footers read at a time; they are metadata, one per snapshot folder.
+FOOTERS_AT_A_TIME = 16
+
+
+def schema_groups(spark: SparkSession, path: str, by_file: bool = False) -> list[tuple[StructType, list[str]]]:
+    """The schemas below ``path`` and the snapshot folders that have each, in the order of their names.
+
+    A folder's files are taken to be one delivery, written by one job: the
+    footer of one of them counts.  ``by_file`` looks at every file's own.  Paths
+    come from a listing, no file is opened for them, and only footers are read;
+    their number follows the number of snapshots, not of rows.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+    unit = F.col("path") if by_file else F.regexp_replace("path", "/[^/]*$", "")
+    units = sorted(r["unit"] for r in files.select(unit.alias("unit")).distinct().collect())
+    if not units:
+        # the source's own error, which ``optional`` knows
+        spark.read.parquet(path)
+    with ThreadPoolExecutor(FOOTERS_AT_A_TIME) as pool:
+        schemas = list(pool.map(lambda unit: spark.read.parquet(unit).schema, units))
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    for unit, schema in zip(units, schemas, strict=True):
+        names = json.dumps(sorted((f.name, f.dataType.jsonValue()) for f in schema), default=str)
+        groups.setdefault(names, (schema, []))[1].append(unit)
+    return list(groups.values())
+
+
+def read_dictionary(
+    spark: SparkSession, path: str, columns: Alternatives | None = None, absent: str = "raise", by_file: bool = False
+) -> DataFrame:
     """Read a Parquet dictionary over all its snapshot folders.
 
+    With ``columns`` every snapshot is mapped by its own schema: a target takes
+    the first of its alternative names that the snapshot has, cast to its type
+    (a value that does not fit is NULL), and the snapshots are stacked.  A
+    target without any of its names in some snapshot raises, or is NULL there
+    with ``absent="null"``.  Snapshots of one schema are one scan, which reads
+    the mapped columns only.  Without ``columns`` the files must share a schema.
+
     The same key may come once per snapshot; take ``distinct_keys`` or
     ``latest_by`` before joining.
     """
-    return spark.read.option("recursiveFileLookup", "true").parquet(path)
+    if absent not in ("raise", "null"):
+        raise ValueError(f"unknown choice {absent!r}, expected raise or null")
+    if columns is None:
+        return spark.read.option("recursiveFileLookup", "true").parquet(path)
+    parts = []
+    for schema, units in schema_groups(spark, path, by_file):
+        part = spark.read.schema(schema).parquet(*units)
+        picked = []
+        for target, (names, dtype) in columns.items():
+            found = find_column(part, *names)
+            if found is None and absent == "raise":
+                raise MissingNames(f"{target}: none of {list(names)} in {units[0]}, which has {sorted(part.columns)}")
+            value = F.lit(None) if found is None else F.col(f"`{found}`")
+            picked.append(value.try_cast(dtype).alias(target))
+        parts.append(part.select(*picked))
+    return reduce(DataFrame.unionByName, parts)
+
+
+class MissingNames(ValueError):
+    """A snapshot has a column under none of its known names."""
 
 
 # Spark's names for a source that is not there or holds no file yet.

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from retailprep.session import clear_scratch, scale_settings, scratch_path, scratch_root, settle, shared_dir
 from retailprep.sources import (
+    MissingNames,
     column_or_null,
     file_manifest,
     find_column,
@@ -17,6 +18,7 @@ from retailprep.sources import (
     read_dictionary,
     read_feed,
     read_latest,
+    schema_groups,
     write_feed,
     write_manifest,
 )
@@ -96,6 +98,53 @@ def test_dictionary_over_snapshots(spark, tmp_path):
     assert rows(df.select(first_column(df, "product_code", "external_id", "code"))) == [("A",), ("B",)]
 
 
+def snapshots(spark, folder):
+    """Snapshots under four schemas, two of them alike."""
+    for day, ddl, rows_of in (
+        ("01", "product_code string, external_id string", [("A", "x"), (None, "y")]),
+        ("02", "external_id string, value int", [("B", 1)]),
+        ("03", "Code bigint", [(7,)]),
+        ("04", "external_id string, product_code string", [("z", "D")]),
+    ):
+        spark.createDataFrame(rows_of, ddl).coalesce(1).write.parquet(f"{folder}/2026-01-{day}/")
+
+
+def test_dictionary_of_several_schemas(spark, tmp_path):
+    snapshots(spark, str(tmp_path / "dict"))
+    codes = {"product_code": (("product_code", "external_id", "code"), "string")}
+    found = read_dictionary(spark, str(tmp_path / "dict"), codes)
+    assert sorted(rows(found), key=str) == sorted([("A",), (None,), ("B",), ("7",), ("D",)], key=str)
+    # a scan for each schema, of the mapped columns only
+    assert sorted(len(units) for _, units in schema_groups(spark, str(tmp_path / "dict"))) == [1, 1, 2]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 3 and "value" not in plan
+    # what one schema for all files made of it: a code and a NULL, without a word
+    single = read_dictionary(spark, str(tmp_path / "dict"))
+    assert "Code" not in single.columns
+
+
+def test_dictionary_names_that_lack(spark, tmp_path):
+    snapshots(spark, str(tmp_path / "dict"))
+    columns = {"product_code": (("product_code", "external_id", "code"), "string"), "value": (("value",), "string")}
+    with pytest.raises(MissingNames, match="value: none of"):
+        read_dictionary(spark, str(tmp_path / "dict"), columns)
+    found = read_dictionary(spark, str(tmp_path / "dict"), columns, absent="null")
+    assert sorted(rows(found.filter("value IS NOT NULL"))) == [("B", "1")]
+    with pytest.raises(ValueError, match="unknown choice"):
+        read_dictionary(spark, str(tmp_path / "dict"), columns, absent="skip")
+    with pytest.raises(AnalysisException):
+        read_dictionary(spark, str(tmp_path / "none"), columns)
+    (tmp_path / "empty").mkdir()
+    assert optional(lambda: read_dictionary(spark, str(tmp_path / "empty"), columns), "product_code string", spark).isEmpty()
+
+
+def test_dictionary_files_of_one_folder(spark, tmp_path):
+    spark.createDataFrame([("A",)], "product_code string").coalesce(1).write.parquet(str(tmp_path / "dict"))
+    spark.createDataFrame([("B",)], "external_id string").coalesce(1).write.mode("append").parquet(str(tmp_path / "dict"))
+    codes = {"product_code": (("product_code", "external_id"), "string")}
+    assert rows(read_dictionary(spark, str(tmp_path / "dict"), codes, by_file=True)) == [("A",), ("B",)]
+
+
 def test_columns_by_name(spark):
     df = spark.createDataFrame([("x",)], "StoreDepartment string")
     assert find_column(df, "none", "storedepartment") == "StoreDepartment"

@@ -161,6 +161,13 @@ def test_products(spark, put, tmp_path):
     assert sorted(r["code"] for r in records(read_feed(spark, delta))) == ["1", "2"]
 
 
+def test_known_products_of_every_schema(spark, tmp_path):
+    for day, column in (("1", "product_code"), ("2", "external_id"), ("3", "code")):
+        spark.createDataFrame([(day,), ("9",)], f"{column} string").write.parquet(str(tmp_path / "dict" / day))
+    assert report(jobs.known_products(spark, str(tmp_path / "dict"))) == [("1",), ("2",), ("3",), ("9",)]
+    assert jobs.known_products(spark, str(tmp_path / "none")).isEmpty()
+
+
 def test_first_product_import_has_no_dictionary(spark, put, tmp_path):
     products = put("product.csv", PRODUCT_HEADER, "1;OPT;S;Item;BR;G1;All;K;TROUSERS;1;1;SS26")
     attributes = put("product_uda.csv", "product_code;uda_code;uda_value", "1;U1;GIRL")
