@@ -1,12 +1,17 @@
 """Price lists, their timeline and deltas, and prices as of a day."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from retailprep.operators.attributes import group_sizes
-from retailprep.operators.enrich import keep_known, since, stack
+from retailprep.operators.delta import delta
+from retailprep.operators.enrich import keep_known, maybe_known, since, stack
 from retailprep.operators.keys import lowest_by
-from retailprep.operators.temporal import accumulate, asof_join, price_fallback
+from retailprep.operators.temporal import accumulate, asof_instant, asof_join, price_fallback
 from retailprep.plans import price, sales
+from retailprep.session import scratch_path
+from retailprep.sources import extend_history, read_feed, read_history, store_bucketed, write_feed
 
 from .fixtures import with_clause
 from .registry import query
@@ -97,6 +102,10 @@ def full_feed(t, **options):
     return price.price_feed(t.base_raw, t.retail_raw, t.store_raw, t.sku_dictionary, **options)
 
 
+def buckets(t):
+    return int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def cleaned(t):
     return price.price_clean(stack({"base": t.base_raw, "retail": t.retail_raw}))
 
@@ -140,6 +149,16 @@ def _(t):
     return keep_known(cleaned(t), known, ["product_code"]).select(*PRICE_COLUMNS.split(", "))
 
 
+@query(
+    "price_known_sku_bloom",
+    CLEAN + f"SELECT {PRICE_COLUMNS} FROM clean WHERE product_code IN (SELECT product_code FROM known_sku)",
+)
+def _(t):
+    known = t.sku_dictionary.select(F.trim("code").alias("product_code"))
+    likely = maybe_known(cleaned(t), known, ["product_code"], expected=20_000)
+    return keep_known(likely, known, ["product_code"]).select(*PRICE_COLUMNS.split(", "))
+
+
 @query(
     "price_known_zone",
     CLEAN + f"SELECT {PRICE_COLUMNS} FROM clean c WHERE (source, zone) IN (SELECT (source, zone) FROM served)",
@@ -191,14 +210,19 @@ def _(t):
     return price.export_totals(full_feed(t))
 
 
-@query(
-    "price_delta",
+PRICE_DELTA = (
     DELTA
     + OUT
     + """feed f WHERE NOT EXISTS (SELECT 1 FROM feed_old o WHERE o.name = f.name
             AND o.product_code = f.product_code AND o.start_date = f.start_date)
         OR EXISTS (SELECT 1 FROM feed_old o WHERE o.name = f.name AND o.product_code = f.product_code
-            AND o.start_date = f.start_date AND o.end_date IS DISTINCT FROM f.end_date)""",
+            AND o.start_date = f.start_date AND o.end_date IS DISTINCT FROM f.end_date)"""
+)
+
+
+@query(
+    "price_delta",
+    PRICE_DELTA,
 )
 def price_delta(t):
     earlier = price.price_feed(t.base_old, t.retail_old, t.store_raw, t.sku_dictionary)
@@ -209,6 +233,34 @@ def price_delta(t):
     return price.price_output(full_feed(t, known=known.unionByName(known)))
 
 
+@query("price_delta_bucketed", PRICE_DELTA)
+def _(t):
+    # the price dictionary as a table bucketed by the keys of a price: comparing does not shuffle it
+    keys = ["name", "product_code", "start_date"]
+    earlier = price.price_feed(t.base_old, t.retail_old, t.store_raw, t.sku_dictionary)
+    name = f"prices_{uuid.uuid4().hex}"
+    stored = store_bucketed(earlier.select(*keys, "end_date"), name, keys, buckets(t), scratch_path(t.spark, name))
+    return price.price_output(delta(full_feed(t), stored, keys, ["end_date"]))
+
+
+@query(
+    "publish_partitions",
+    DELTA
+    + """SELECT name, count(*) AS rows, CAST(sum(value) AS DECIMAL(18,2)) AS total FROM (
+            SELECT name, value FROM feed WHERE market_code LIKE '%REG'
+            UNION ALL SELECT name, value FROM feed_old WHERE name NOT IN (SELECT name FROM feed WHERE market_code LIKE '%REG'))
+        GROUP BY name""",
+)
+def _(t):
+    # all lists as delivered earlier, then those of some markets anew
+    path = scratch_path(t.spark, "lists")
+    earlier = price.price_feed(t.base_old, t.retail_old, t.store_raw, t.sku_dictionary)
+    write_feed(price.price_output(earlier), path, partition_by="name")
+    write_feed(price.price_output(full_feed(t)).filter(F.col("market_code").endswith("REG")), path, partition_by="name", replace="LISTS")
+    written = read_feed(t.spark, path).select("name", F.col("value").try_cast("decimal(15,2)").alias("value"))
+    return written.groupBy("name").agg(F.count(F.lit(1)).alias("rows"), F.sum("value").cast("decimal(18,2)").alias("total"))
+
+
 @query(
     "price_delta_values",
     DELTA
@@ -228,15 +280,20 @@ def _(t):
     return price.price_output(full_feed(t, known=shifted.select(*earlier.columns), compare=["end_date", "value"]))
 
 
-@query(
-    "price_history",
+PRICE_HISTORY = (
     DELTA
     + """SELECT source, market_code, product_code, start_date, value, currency_code,
             CAST(lead(start_date) OVER (PARTITION BY source, market_code, product_code ORDER BY start_date)
                  - INTERVAL 1 DAY AS DATE) AS end_date
         FROM (SELECT *, row_number() OVER (PARTITION BY source, market_code, product_code, start_date
                                            ORDER BY value, currency_code NULLS LAST) AS rn
-              FROM (SELECT * FROM lowest_old UNION ALL SELECT * FROM lowest)) WHERE rn = 1""",
+              FROM (SELECT * FROM lowest_old UNION ALL SELECT * FROM lowest)) WHERE rn = 1"""
+)
+
+
+@query(
+    "price_history",
+    PRICE_HISTORY,
 )
 def _(t):
     history = current(t, t.base_old, t.retail_old)
@@ -245,6 +302,16 @@ def _(t):
     return accumulate(history, snapshot, keys, "start_date", "value", ["currency_code"])
 
 
+@query("history_increment", PRICE_HISTORY)
+def _(t):
+    # the history so far lies in folders; the snapshot changes those of its keys
+    keys = ["source", "market_code", "product_code"]
+    path = scratch_path(t.spark, "price_history")
+    for base, retail in ((t.base_old, t.retail_old), (t.base_raw, t.retail_raw)):
+        extend_history(t.spark, path, current(t, base, retail), keys, "start_date", "value", ["currency_code"], buckets=16)
+    return read_history(t.spark, path, 16).select(*keys, "start_date", "value", "currency_code", "end_date")
+
+
 SALE_KEYS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate"]
 DAILY = """daily AS (
     SELECT product_code, quote_date, price FROM (
@@ -265,6 +332,25 @@ def asof_price(t):
     return joined.drop("product_code")
 
 
+QUOTED = """quoted AS (
+    SELECT user_id, ts, min(CAST(value AS DECIMAL(13,2))) AS price FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts)"""
+
+
+@query(
+    "asof_timestamp",
+    f"""WITH {QUOTED}
+    SELECT e.event_id, e.user_id, strftime(q.ts, '%Y-%m-%d %H:%M:%S.%f') AS quoted_at, q.price
+    FROM events e ASOF LEFT JOIN quoted q ON e.user_id = q.user_id AND e.ts >= q.ts""",
+)
+def _(t):
+    # the price a user last paid when each event happened
+    quotes = t.events.filter("event_type = 'purchase'").select(
+        "user_id", F.col("ts").alias("quoted_at"), F.col("value").cast("decimal(13,2)").alias("price")
+    )
+    joined = asof_instant(t.events.select("event_id", "user_id", "ts"), quotes, ["user_id"], "ts", "quoted_at", ["price"])
+    return joined.select("event_id", "user_id", F.date_format("quoted_at", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("quoted_at"), "price")
+
+
 @query(
     "asof_price_fallback",
     with_clause("sales_raw", "quotes_raw", more=DAILY)

@@ -1,9 +1,13 @@
 """Stock, inbound goods and snapshot semantics."""
 
+import uuid
+
 from pyspark.sql import functions as F
 
-from retailprep.operators.delta import compare_deliveries, densify, upsert
+from retailprep.operators.delta import bucketed_upsert, compare_deliveries, densify, upsert
 from retailprep.plans import stock
+from retailprep.session import scratch_path
+from retailprep.sources import publish_version, read_feed, write_feed
 
 from .fixtures import with_clause
 from .product_queries import SHARE
@@ -64,6 +68,22 @@ def _(t):
     return stock.warehouse_profile(t.warehouse_raw)
 
 
+@query(
+    "observed_audit",
+    with_clause("open_orders_raw", "in_transit_raw", more=INBOUND)
+    + """SELECT r.reason AS outcome, count(m.outcome) AS rows FROM (VALUES ('blank_key'), ('no_date'), ('kept')) AS r(reason)
+            LEFT JOIN marked m ON m.outcome = r.reason GROUP BY r.reason
+        UNION ALL SELECT 'total', count(*) FROM marked UNION ALL SELECT 'written', count(*) FROM marked WHERE outcome = 'kept'""",
+)
+def _(t):
+    # the feed is written once, and the audit is counted by that job
+    path = scratch_path(t.spark, "inbound")
+    feed, report = stock.inbound_feed_audited(t.open_orders_raw, t.in_transit_raw)
+    write_feed(feed, path)
+    written = read_feed(t.spark, path).agg(F.lit("written").alias("outcome"), F.count(F.lit(1)).alias("rows"))
+    return report().unionByName(written)
+
+
 @query(
     "inbound_feed",
     with_clause("open_orders_raw", "in_transit_raw", more=INBOUND)
@@ -96,16 +116,27 @@ def _(t):
     return densify(snapshot, wanted, ["point_of_sale_code", "product_code"], ["amount"])
 
 
-@query(
-    "upsert",
+UPSERTED = (
     with_clause("customer_base", "customer_updates")
     + """SELECT * FROM customer_updates UNION ALL
-        SELECT * FROM customer_base WHERE external_id NOT IN (SELECT external_id FROM customer_updates)""",
+        SELECT * FROM customer_base WHERE external_id NOT IN (SELECT external_id FROM customer_updates)"""
 )
+
+
+@query("upsert", UPSERTED)
 def _(t):
     return upsert(t.customer_base, t.customer_updates, ["external_id"])
 
 
+@query("upsert_bucketed", UPSERTED)
+def _(t):
+    # two versions of the stored table: the second is made of the first without shuffling it
+    keys, view = ["external_id"], f"customers_{uuid.uuid4().hex}"
+    buckets = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    base = publish_version(t.customer_base, view, keys, buckets, scratch_path(t.spark, "v1"))
+    return publish_version(bucketed_upsert(base, t.customer_updates, keys), view, keys, buckets, scratch_path(t.spark, "v2"))
+
+
 @query(
     "delivery_compare",
     with_clause("delivery_a", "delivery_b")

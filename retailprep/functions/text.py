@@ -39,57 +39,28 @@ def parse_decimal(c: Column | str, precision: int, scale: int, strict: bool = Fa
     return F.translate(digits, ",", ".").try_cast(f"decimal({precision},{scale})")
 
 
+# Formats whose every letter is a digit of the text.
+FIXED_WIDTH = re.compile("([yMdHms]+|[ .:/-])+")
+
+
 def parse_date(c: Column | str, formats: Sequence[str] | None = None) -> Column:
-    """Date from the first matching format; without formats, from ISO text."""
+    """Date from the first matching format; without formats, from ISO text.
+
+    Text is only parsed by a fixed-width format whose shape it has: parsing what
+    does not fit would raise and catch an exception for every row.
+    """
     text = to_col(c)
     if formats is None:
         return text.try_cast("date")
-    fixed = [f for f in formats if _FIXED_WIDTH.fullmatch(f)]
-    if len(fixed) < len(formats):
-        return F.coalesce(*[F.try_to_date(text, f) for f in formats])
-    return F.coalesce(*[_iso_text(text, batch).try_cast("date") for batch in _by_shape(fixed)])
-
-
-_FIXED_WIDTH = re.compile(r"(?=.*yyyy)(?=.*MM)(?=.*dd)(yyyy|MM|dd|HH|mm|ss|[ .:/-])+")
-_TOKEN = re.compile("yyyy|MM|dd|HH|mm|ss")
-_DIGITS = {
-    "yyyy": r"(\d{4})",
-    "MM": r"(\d{2})",
-    "dd": r"(\d{2})",
-    "HH": r"(?:[01]\d|2[0-3])",
-    "mm": r"[0-5]\d",
-    "ss": r"[0-5]\d",
-}
-
-
-def _by_shape(formats: Sequence[str]) -> list[list[str]]:
-    """Formats in batches whose members cannot match the same text."""
-    batches: list[dict[str, str]] = []
-    for f in formats:
-        shape = re.sub("[a-zA-Z]", "0", f)
-        free = next((b for b in batches if shape not in b), None)
-        if free is None:
-            batches.append(free := {})
-        free[shape] = f
-    return [list(b.values()) for b in batches]
-
-
-def _iso_text(text: Column, formats: Sequence[str]) -> Column:
-    """Text of one of the formats as yyyy-MM-dd, anything else as text that is no date.
-
-    One regular expression reads all formats in one pass; parsing by format would
-    raise and catch a Java exception for every format that does not fit.
-    """
-    parts = {"yyyy": "", "MM": "", "dd": ""}
-    shapes, group = [], 0
-    for f in formats:
-        for token in _TOKEN.findall(f):
-            if token in parts:
-                group += 1
-                parts[token] += f"${group}"
-        shapes.append(_TOKEN.sub(lambda m: _DIGITS[m[0]], f.replace(".", r"\.")))
-    pattern = rf"(?s)\A(?:{'|'.join(shapes)})\z|\A.*\z"
-    return F.regexp_replace(text, pattern, f"{parts['yyyy']}-{parts['MM']}-{parts['dd']}")
+    return F.coalesce(*[F.when(text.rlike(_shape(f)), F.try_to_date(text, f)) for f in formats])
+
+
+def _shape(date_format: str) -> str:
+    """Pattern of the texts a format may fit: its letters are digits; any text unless its width is fixed."""
+    if not FIXED_WIDTH.fullmatch(date_format):
+        return "(?s).*"
+    digits = re.sub("[a-zA-Z]", lambda _: r"\d", re.escape(date_format))
+    return rf"\A{digits}\z"
 
 
 def strip_last(c: Column | str) -> Column:

@@ -38,6 +38,16 @@ def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFram
     return untouched.select(*base.columns).unionByName(updates.select(*base.columns))
 
 
+def bucketed_upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``upsert`` onto a table bucketed by ``keys`` (see ``store_bucketed``), which is not shuffled.
+
+    Only the updates move, to the buckets of the base.  Keys are unique on both
+    sides, so there is no hot one that a join would have to split.
+    """
+    untouched = base.join(updates.select(*keys), list(keys), "left_anti")
+    return untouched.select(*base.columns).unionByName(updates.select(*base.columns))
+
+
 def densify(snapshot: DataFrame, wanted: DataFrame, keys: Sequence[str], amounts: Sequence[str]) -> DataFrame:
     """One row per wanted key; a key absent from the snapshot has zero amounts."""
     totals = snapshot.groupBy(*keys).agg(*[F.sum(a).try_cast(t).alias(a) for a, t in snapshot.dtypes if a in amounts])
@@ -66,5 +76,7 @@ def compare_deliveries(a: DataFrame, b: DataFrame, variant: str, parent: str) ->
         sides = ((in_a, "a"), (in_b, "b"), (in_a & in_b, "common"))
         return [F.count_if(known & side).alias(f"{name}_{which}") for side, which in sides]
 
-    rows = [F.sum(F.when(F.col("level") == 0, F.col(f"rows_{which}"))).alias(f"rows_{which}") for which in "ab"]
+    # two empty deliveries have no rows to sum
+    sums = {which: F.sum(F.when(F.col("level") == 0, F.col(f"rows_{which}"))) for which in "ab"}
+    rows = [F.coalesce(total, F.lit(0).cast("long")).alias(f"rows_{which}") for which, total in sums.items()]
     return per_key.agg(*rows, *counted(0, "variants"), *counted(1, "parents"))

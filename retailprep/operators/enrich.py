@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -62,6 +63,55 @@ def keep_known(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFram
     return lookup_join(df, distinct_keys(known, *keys), keys, "left_semi")
 
 
+# A Bloom filter's blocks of 512 bits; a row of eight longs takes some 120 bytes, so that the largest filter has 16 MB.
+BLOCK_WORDS = 8
+BITS_PER_KEY = 12
+KEY_BITS = 5
+MOST_BLOCKS = 1 << 17
+
+
+def _bloom_bits(keys: Sequence[str], blocks: int) -> tuple[Column, list[tuple[Column, Column]]]:
+    """A key's block and the (word, bit) places it has there, nine bits of a second hash each."""
+    second = F.xxhash64(F.lit(1), *keys)
+    places = [F.shiftrightunsigned(second, 9 * i).bitwiseAND(F.lit(511)).cast("int") for i in range(KEY_BITS)]
+    return F.pmod(F.xxhash64(*keys), F.lit(blocks)), [(F.shiftright(p, 6), p.bitwiseAND(F.lit(63))) for p in places]
+
+
+def bloom_filter(known: DataFrame, keys: Sequence[str], blocks: int) -> DataFrame:
+    """(block, words): the blocks of a Bloom filter of the keys, at most ``blocks`` rows of eight longs."""
+    block, places = _bloom_bits(keys, blocks)
+    one = F.lit(1).cast("long")
+
+    def word(w: int) -> Column:
+        bits = [F.when(at == w, F.call_function("shiftleft", one, bit)).otherwise(F.lit(0).cast("long")) for at, bit in places]
+        return reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+    words = known.select(block.alias("block"), *[word(w).alias(f"w{w}") for w in range(BLOCK_WORDS)])
+    merged = words.groupBy("block").agg(*[F.bit_or(f"w{w}").alias(f"w{w}") for w in range(BLOCK_WORDS)])
+    return merged.select("block", F.array(*[f"w{w}" for w in range(BLOCK_WORDS)]).alias("words"))
+
+
+def maybe_known(df: DataFrame, known: DataFrame, keys: Sequence[str], expected: int) -> DataFrame:
+    """Rows whose key is in ``known``, and a hundredth or so of the others, without a shuffle of ``df``.
+
+    To be put where the rows are scanned, with the exact ``keep_known`` after
+    it.  A Bloom filter sized for ``expected`` keys is broadcast, 16 MB at most;
+    if so many are expected that it would let through more than it drops, the
+    rows come back as they are.  More keys than expected only make it weaker.
+    """
+    blocks = max(1, -(-expected * BITS_PER_KEY // (64 * BLOCK_WORDS)))
+    if blocks > 3 * MOST_BLOCKS:
+        return df
+    blocks = min(blocks, MOST_BLOCKS)
+    block, places = _bloom_bits(keys, blocks)
+    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
+    found = df.filter(present).withColumn("__block", block).join(
+        F.broadcast(bloom_filter(known, keys, blocks)).withColumnsRenamed({"block": "__block", "words": "__words"}), "__block"
+    )
+    hits = [F.call_function("shiftright", F.get("__words", at), bit).bitwiseAND(F.lit(1)) == 1 for at, bit in places]
+    return found.filter(reduce(lambda a, b: a & b, hits)).select(*df.columns)
+
+
 def new_rows(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is not in ``known``; a NULL key is never known."""
     return lookup_join(df, distinct_keys(known, *keys), keys, "left_anti")

@@ -59,3 +59,28 @@ def sample_per_group(
     """
     shuffled = F.xxhash64(F.lit(seed), *[F.col(k) for k in keys])
     return first_rows(df, groups, [shuffled, *keys], n)
+
+
+# Ranges a ranking is cut into: what it knows of all of them (bounds, counts) is one small row each.
+RANK_RANGES = 256
+
+
+def global_rank(df: DataFrame, column: str, rank: str = "rank", ranges: int = RANK_RANGES) -> DataFrame:
+    """The distinct values of ``column`` with their place 1..n in ascending order, NULL first.
+
+    Values are cut into ranges at those with the least hashes, a sample that
+    depends on the data alone, so that every part of the plan cuts alike.  Each
+    range is ranked by itself and put after the number of values before it; no
+    window holds more than a range, and only ``ranges`` bounds and counts meet.
+    """
+    values = df.select(column).distinct()
+    sample = values.orderBy(F.xxhash64(column), column).limit(ranges)
+    bounds = sample.agg(F.array_sort(F.collect_list(column)).alias("bounds")).scalar()
+    below = F.filter("__bounds", lambda bound: bound <= F.col(column))
+    placed = values.withColumn("__bounds", bounds).select(column, F.size(below).alias("__range"))
+    counts = placed.groupBy("__range").agg(F.count(F.lit(1)).alias("n"))
+    sizes = counts.agg(F.collect_list(F.struct("__range", "n")).alias("sizes")).scalar()
+    before = F.filter("__sizes", lambda size: size["__range"] < F.col("__range"))
+    offset = F.aggregate(before, F.lit(0).cast("long"), lambda total, size: total + size["n"])
+    within = F.row_number().over(Window.partitionBy("__range").orderBy(column))
+    return placed.withColumns({"__sizes": sizes, rank: within}).select(column, (offset + F.col(rank)).alias(rank))

@@ -6,10 +6,10 @@ nothing is counted twice and nothing is collected.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank
@@ -56,60 +56,99 @@ def percent(part: Column, whole: Column) -> Column:
     return F.round(exact, 3).cast("decimal(7,3)")
 
 
+@dataclass(frozen=True)
+class Report:
+    """Aggregates that can be taken of a frame, by name, and the rows made of their one line."""
+
+    aggregates: Mapping[str, Column]
+    rows: Callable[[DataFrame], DataFrame]
+
+    def of(self, df: DataFrame) -> DataFrame:
+        """The report of a frame, in one aggregation."""
+        return self.rows(df.agg(*[value.alias(name) for name, value in self.aggregates.items()]))
+
+    def observed(self, df: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
+        """The frame, which counts its rows while it is first written, and its report.
+
+        The report is asked for after that action and reads nothing again.  Put
+        it where no shuffle follows before the write (a feed's last step, or
+        what is settled): there every task counts once, also when executors are
+        lost, while the tasks before a shuffle may be run and counted anew.
+        """
+        seen = Observation()
+        spark = df.sparkSession
+        counted = df.observe(seen, *[value.alias(name) for name, value in self.aggregates.items()])
+
+        def report() -> DataFrame:
+            counts = seen.get
+            schema = ", ".join(f"{name} long" for name in self.aggregates)
+            return self.rows(spark.createDataFrame([tuple(counts[name] for name in self.aggregates)], schema))
+
+        return counted, report
+
+
 def _as_rows(counts: DataFrame, structs: list[Column]) -> DataFrame:
     return counts.select(F.inline(F.array(*structs)))
 
 
-def quality_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+def quality_counts(checks: Sequence[Check]) -> Report:
     """(check, column, level, rows, share) per check, after one ``rows`` line for the total.
 
     ``share`` is the part of all rows in percent, NULL for an empty feed, whose
     total line is CRITICAL.
     """
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(c.condition).alias(f"c{i}") for i, c in enumerate(checks)],
-    )
 
     def line(name: str, column: str, level: Column, rows: Column) -> Column:
-        share = percent(rows, F.col("total"))
         return F.struct(
             F.lit(name).alias("check"),
             F.lit(column).alias("column"),
             level.alias("level"),
             rows.alias("rows"),
-            share.alias("share"),
+            percent(rows, F.col("total")).alias("share"),
         )
 
-    total_level = F.when(F.col("total") == 0, F.lit(CRITICAL)).otherwise(F.lit(INFO))
-    lines = [line("rows", "*", total_level, F.col("total"))]
-    for i, check in enumerate(checks):
-        hit = F.col(f"c{i}")
-        level = F.when(hit > 0, F.lit(check.level)).otherwise(F.lit(INFO))
-        lines.append(line(check.name, check.column, level, hit))
-    return _as_rows(counts, lines)
+    def rows(counts: DataFrame) -> DataFrame:
+        total_level = F.when(F.col("total") == 0, F.lit(CRITICAL)).otherwise(F.lit(INFO))
+        lines = [line("rows", "*", total_level, F.col("total"))]
+        for i, check in enumerate(checks):
+            hit = F.col(f"c{i}")
+            level = F.when(hit > 0, F.lit(check.level)).otherwise(F.lit(INFO))
+            lines.append(line(check.name, check.column, level, hit))
+        return _as_rows(counts, lines)
 
+    return Report({"total": F.count(F.lit(1))} | {f"c{i}": F.count_if(c.condition) for i, c in enumerate(checks)}, rows)
 
-def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+
+def quality_report(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """See ``quality_counts``."""
+    return quality_counts(checks).of(df)
+
+
+def null_counts(columns: Sequence[str]) -> Report:
     """(column, rows, blanks, share) for each column: NULL or empty values."""
-    counts = df.agg(
-        F.count(F.lit(1)).alias("total"),
-        *[
-            F.count_if(F.col(c).isNull() | (F.col(c).cast("string") == "")).alias(f"c{i}")
-            for i, c in enumerate(columns)
-        ],
-    )
-    total = F.col("total")
-    lines = [
-        F.struct(
-            F.lit(c).alias("column"),
-            total.alias("rows"),
-            F.col(f"c{i}").alias("blanks"),
-            percent(F.col(f"c{i}"), total).alias("share"),
+
+    def rows(counts: DataFrame) -> DataFrame:
+        total = F.col("total")
+        return _as_rows(
+            counts,
+            [
+                F.struct(
+                    F.lit(c).alias("column"),
+                    total.alias("rows"),
+                    F.col(f"c{i}").alias("blanks"),
+                    percent(F.col(f"c{i}"), total).alias("share"),
+                )
+                for i, c in enumerate(columns)
+            ],
         )
-        for i, c in enumerate(columns)
-    ]
-    return _as_rows(counts, lines)
+
+    blank = {f"c{i}": F.count_if(F.col(c).isNull() | (F.col(c).cast("string") == "")) for i, c in enumerate(columns)}
+    return Report({"total": F.count(F.lit(1))} | blank, rows)
+
+
+def null_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """See ``null_counts``."""
+    return null_counts(columns).of(df)
 
 
 def audit_outcome(reasons: Mapping[str, Column]) -> Column:
@@ -120,19 +159,28 @@ def audit_outcome(reasons: Mapping[str, Column]) -> Column:
     return out
 
 
-def volume_audit(df: DataFrame, reasons: Mapping[str, Column]) -> DataFrame:
+def volume_counts(reasons: Mapping[str, Column]) -> Report:
     """(outcome, rows): total, rows dropped per reason in order, rows kept."""
-    outcome = audit_outcome(reasons)
     names = [*reasons, "kept"]
-    counts = df.select(outcome.alias("outcome")).agg(
-        F.count(F.lit(1)).alias("total"),
-        *[F.count_if(F.col("outcome") == n).alias(f"c{i}") for i, n in enumerate(names)],
-    )
-    lines = [F.struct(F.lit("total").alias("outcome"), F.col("total").alias("rows"))]
-    lines += [
-        F.struct(F.lit(n).alias("outcome"), F.col(f"c{i}").alias("rows")) for i, n in enumerate(names)
-    ]
-    return _as_rows(counts, lines)
+
+    def rows(counts: DataFrame) -> DataFrame:
+        lines = [F.struct(F.lit("total").alias("outcome"), F.col("total").alias("rows"))]
+        lines += [F.struct(F.lit(n).alias("outcome"), F.col(f"c{i}").alias("rows")) for i, n in enumerate(names)]
+        return _as_rows(counts, lines)
+
+    outcome = audit_outcome(reasons)
+    return Report({"total": F.count(F.lit(1))} | {f"c{i}": F.count_if(outcome == n) for i, n in enumerate(names)}, rows)
+
+
+def volume_audit(df: DataFrame, reasons: Mapping[str, Column]) -> DataFrame:
+    """See ``volume_counts``."""
+    return volume_counts(reasons).of(df)
+
+
+def audited(df: DataFrame, reasons: Mapping[str, Column]) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The rows no reason drops, and their volume audit, counted while they are written."""
+    counted, report = volume_counts(reasons).observed(df)
+    return counted.filter(audit_outcome(reasons) == "kept"), report
 
 
 def value_counts(df: DataFrame, *columns: str, name: str = "rows") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Validity intervals and as-of lookups by day."""
+"""Validity intervals and as-of lookups by day and by instant."""
 
 from __future__ import annotations
 
@@ -85,6 +85,78 @@ def asof_join(
     return joined.select(*[F.col(c) for c in facts.columns], *picked)
 
 
+def asof_window(
+    facts: DataFrame, quotes: DataFrame, by: Sequence[str], fact_day: str, quote_day: str, columns: Sequence[str]
+) -> DataFrame:
+    """``asof_join`` for facts of which a key has few per day: they are windowed themselves, in one shuffle.
+
+    For distinct rows of key, day and columns with a bounded number of values;
+    facts as such belong into ``asof_join``, which windows keys and days only.
+    """
+    keys = list(by)
+    usable = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, "__day")])
+    dated = quotes.select(*keys, F.col(quote_day).cast("date").alias("__day"), *columns).filter(usable)
+    best = lowest_value(dated, [*keys, "__day"], columns[0], columns[1:])
+    quote = F.struct(F.col("__day").alias(quote_day), *columns).alias("__quote")
+    asked = facts.withColumns({"__day": F.col(fact_day).cast("date"), "__side": F.lit(1)})
+    line = best.select(*keys, "__day", F.lit(0).alias("__side"), quote).unionByName(asked, allowMissingColumns=True)
+    upto = Window.partitionBy(*keys).orderBy("__day", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    found = line.withColumn("__quote", F.last("__quote", ignorenulls=True).over(upto)).filter(F.col("__side") == 1)
+    picked = [F.col(f"__quote.{c}").alias(c) for c in (quote_day, *columns)]
+    return found.select(*[F.col(c) for c in facts.columns], *picked)
+
+
+# Slices of the as-of join by instant: long enough to hold many rows of a usual key, short enough to cut a hot one.
+SLICE_SECONDS = 3600
+
+
+def asof_instant(
+    facts: DataFrame,
+    quotes: DataFrame,
+    by: Sequence[str],
+    fact_ts: str,
+    quote_ts: str,
+    columns: Sequence[str],
+    slice_seconds: int = SLICE_SECONDS,
+) -> DataFrame:
+    """Each fact with ``columns`` of the newest quote of its key at or before its instant.
+
+    Like ``asof_join`` at the grain of microseconds: of several quotes at one
+    instant the smallest counts, and a NULL in the newest quote stays.  Days
+    count as their midnight.
+
+    A key may have any number of instants, so its line is cut into slices of
+    ``slice_seconds``: windows run within (key, slice), and what a slice does
+    not have itself is carried over from the last slice before it that closed
+    with a quote.  The carrying window sees one row per key and slice with rows,
+    so no task holds more than a slice of a key, or the number of its slices.
+    """
+    if slice_seconds < 1:
+        raise ValueError("a slice has a second at least")
+    keys = list(by)
+    sliced = [*keys, "__slice"]
+    usable = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, "__ts")])
+    number = F.expr(f"unix_micros(__ts) div {slice_seconds * 1_000_000}")
+    asked = facts.select(*keys, F.col(fact_ts).cast("timestamp").alias("__ts")).filter(usable).distinct()
+    timed = quotes.select(*keys, F.col(quote_ts).cast("timestamp").alias("__ts"), *columns).filter(usable)
+    best = lowest_value(timed, [*keys, "__ts"], columns[0], columns[1:])
+    quote = F.struct(F.col("__ts").alias(quote_ts), *columns)
+    line = (
+        asked.withColumns({"__side": F.lit(1), "__quote": F.lit(None)})
+        .unionByName(best.select(*keys, "__ts", F.lit(0).alias("__side"), quote.alias("__quote")))
+        .withColumn("__slice", number)
+    )
+    upto = Window.partitionBy(*sliced).orderBy("__ts", "__side").rowsBetween(Window.unboundedPreceding, 0)
+    within = line.withColumn("__own", F.last("__quote", ignorenulls=True).over(upto)).filter(F.col("__side") == 1)
+    closing = F.max_by("__quote", F.when(F.col("__side") == 0, F.col("__ts"))).alias("__closing")
+    earlier = Window.partitionBy(*keys).orderBy("__slice").rowsBetween(Window.unboundedPreceding, -1)
+    carried = line.groupBy(*sliced).agg(closing).select(*sliced, F.last("__closing", ignorenulls=True).over(earlier).alias("__carried"))
+    found = within.join(carried, sliced, "left").select(*keys, "__ts", F.coalesce("__own", "__carried").alias("__quote"))
+    joined = facts.withColumn("__ts", F.col(fact_ts).cast("timestamp")).join(found, [*keys, "__ts"], "left")
+    picked = [F.col(f"__quote.{c}").alias(c) for c in (quote_ts, *columns)]
+    return joined.select(*[F.col(c) for c in facts.columns], *picked)
+
+
 def price_fallback(*prices: Column | str) -> Column:
     """The first price that is not NULL."""
     return F.coalesce(*[to_col(p) for p in prices])

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .enrich import lookup_join, new_rows
 
-FACTOR = "decimal(18,6)"
+FACTOR = "decimal(24,12)"
 
 
 def conversion_table(conversions: DataFrame) -> DataFrame:
@@ -17,26 +17,22 @@ def conversion_table(conversions: DataFrame) -> DataFrame:
 
     Conversions come as (group, from_unit, to_unit, factor): one ``to_unit`` is
     ``factor`` ``from_unit``.  The reverse is implied.  ``versions`` above one
-    marks a direction with contradicting factors.
+    marks a direction with contradicting factors, zero one whose factors are all
+    unusable: missing, not positive, or below what the type holds.
     """
-    there = conversions.select(
-        "group",
-        "from_unit",
-        "to_unit",
-        F.lit(1).cast(FACTOR).alias("multiply"),
-        F.col("factor").cast(FACTOR).alias("divide"),
-    )
-    back = conversions.select(
-        "group",
-        F.col("to_unit").alias("from_unit"),
-        F.col("from_unit").alias("to_unit"),
-        F.col("factor").cast(FACTOR).alias("multiply"),
-        F.lit(1).cast(FACTOR).alias("divide"),
+    factor = F.col("factor").try_cast(FACTOR)
+    one = F.lit(1).cast(FACTOR)
+    sides = (("from_unit", "to_unit", one, factor), ("to_unit", "from_unit", factor, one))
+    there, back = (
+        conversions.select(
+            "group", F.col(a).alias("from_unit"), F.col(b).alias("to_unit"), multiply.alias("multiply"), divide.alias("divide")
+        )
+        for a, b, multiply, divide in sides
     )
-    rule = F.struct("multiply", "divide")
-    both = there.unionByName(back).filter(F.col("multiply") > 0).filter(F.col("divide") > 0)
+    rule = F.when((F.col("multiply") > 0) & (F.col("divide") > 0), F.struct("multiply", "divide"))
     return (
-        both.groupBy("group", "from_unit", "to_unit")
+        there.unionByName(back)
+        .groupBy("group", "from_unit", "to_unit")
         .agg(F.min(rule).alias("low"), F.max(rule).alias("high"))
         .select(
             "group",
@@ -44,7 +40,7 @@ def conversion_table(conversions: DataFrame) -> DataFrame:
             "to_unit",
             "low.multiply",
             "low.divide",
-            F.when(F.col("low") == F.col("high"), 1).otherwise(2).alias("versions"),
+            F.when(F.col("low").isNull(), 0).when(F.col("low") == F.col("high"), 1).otherwise(2).alias("versions"),
         )
     )
 
@@ -67,8 +63,9 @@ def convert_units(
 
     ``stock`` has product_code and unit, ``products`` has product_code,
     sales_unit and group.  Adds ``sales_unit``, ``converted``
-    and ``status``: same, converted, ambiguous, missing or unknown_product.
-    An ambiguous or missing conversion leaves the amount NULL.  Most products may
+    and ``status``: same, converted, ambiguous, unusable (a factor that is not
+    positive, or too small), missing or unknown_product.  Without a usable
+    conversion the amount is NULL.  Most products may
     share one group: the join is one that AQE may split.
     """
     master = product_units(products).withColumnRenamed("group", "__group")
@@ -86,6 +83,7 @@ def convert_units(
         .when(F.col("unit") == F.col("sales_unit"), "same")
         .when(F.col("versions").isNull(), "missing")
         .when(F.col("versions") > 1, "ambiguous")
+        .when(F.col("versions") < 1, "unusable")
         .otherwise("converted")
     )
     value = F.col(amount).cast(amount_type)
@@ -104,9 +102,8 @@ def missing_conversions(
     """Stock rows and products without a way to their sales unit, per context (warehouse, store, in transit)."""
     needed = lookup_join(stock, product_units(products), ["product_code"], "inner")
     needed = needed.filter(F.col("unit") != F.col("sales_unit"))
-    table = conversion_table(conversions).select(
-        "group", F.col("from_unit").alias("unit"), F.col("to_unit").alias("sales_unit")
-    )
+    usable = conversion_table(conversions).filter(F.col("versions") > 0)
+    table = usable.select("group", F.col("from_unit").alias("unit"), F.col("to_unit").alias("sales_unit"))
     gaps = new_rows(needed, table, ["group", "unit", "sales_unit"])
     # per product first, so that the distinct count needs no second pass over the rows
     per_product = gaps.groupBy(*context, "unit", "sales_unit", "product_code").agg(F.count(F.lit(1)).alias("n"))

@@ -1,7 +1,9 @@
 """Jobs: read the delivered files, check them, build a feed and publish it.
 
-Each job returns its reports as DataFrames; nothing is collected unless the
-caller looks at them.  Paths are Spark paths; credentials belong to the session.
+Each job returns its reports as DataFrames.  Those that count the rows of a feed
+are taken while the feed is written (a handful of numbers reaches the driver);
+the others are computed when the caller looks at them.  Paths are Spark paths;
+credentials belong to the session.
 """
 
 from __future__ import annotations
@@ -70,6 +72,9 @@ def import_products(
     if kind not in ("FULL", "DELTA"):
         raise ValueError(f"unknown kind {kind!r}, expected FULL or DELTA")
     raw = check_not_empty(check_columns(read_feed(spark, products), product.REQUIRED, "product"), "product")
+    # the catalogue is read once: what follows reads it from the shared folder, and its blanks are counted on the way there
+    raw, quality = product.product_counts().observed(raw)
+    raw = settle(raw)
     code = "product_code string"
     sources = [read_feed(spark, warehouse, sep="|").select("product_code")]
     if store_stock_folder:
@@ -84,7 +89,7 @@ def import_products(
     order = ["parent_product_code", "external_id"]
     publish(feed, full, sample, mode, sample_order=order, order_by=order)
     reports = {
-        "quality": product.product_report(raw),
+        "quality": quality(),
         "stats": product.catalogue_stats(raw, active, known),
         "duplicates": duplicate_keys(raw, ["product_code", "size_code"]),
     }
@@ -109,8 +114,14 @@ def import_prices(
     currency: str | None = None,
     mode: str = "FULL",
     compare: Sequence[str] = ("end_date",),
+    replace: str = "ALL",
+    expected_products: int | None = None,
 ) -> Reports:
-    """One folder per price list; with ``price_dictionary`` only new and changed prices (DELTA)."""
+    """One folder per price list; with ``price_dictionary`` only new and changed prices (DELTA).
+
+    ``replace="LISTS"`` leaves the folders of lists that have no rows now.
+    ``expected_products`` is for feeds of mostly unknown products (see ``price.current_prices``).
+    """
     check_outputs(full, sample, mode)
     known = None
     if price_dictionary:
@@ -127,11 +138,20 @@ def import_prices(
             currency,
             known,
             compare,
+            expected_products,
         )
     )
     keys = ["product_code", "start_date"]
     publish(
-        price.price_output(feed), full, sample, mode, sample_order=keys, sample_by="name", partition_by="name", settled=True
+        price.price_output(feed),
+        full,
+        sample,
+        mode,
+        sample_order=keys,
+        sample_by="name",
+        partition_by="name",
+        settled=True,
+        replace=replace,
     )
     return {"lists": price.price_totals(feed), "totals": price.export_totals(feed)}
 
@@ -157,9 +177,9 @@ def import_warehouse_stock(
     spark: SparkSession, path: str, full: str | None = None, sample: str | None = None, mode: str = "FULL"
 ) -> Reports:
     raw = check_columns(read_feed(spark, path, sep="|"), stock.WAREHOUSE_REQUIRED, "warehouse stock")
-    feed = stock.warehouse_stock_feed(check_not_empty(raw, "warehouse stock"))
+    feed, blanks = stock.warehouse_feed_profiled(check_not_empty(raw, "warehouse stock"))
     publish(feed, full, sample, mode, sample_order=["warehouse_code", "product_code"])
-    return {"blanks": stock.warehouse_profile(raw)}
+    return {"blanks": blanks()}
 
 
 def import_inbound(
@@ -172,9 +192,9 @@ def import_inbound(
 ) -> Reports:
     open_orders = check_not_empty(read_feed(spark, orders, sep="|"), "open orders")
     in_transit = check_not_empty(read_feed(spark, transit, sep="|"), "goods in transit")
-    feed = stock.inbound_feed(open_orders, in_transit)
+    feed, volume = stock.inbound_feed_audited(open_orders, in_transit)
     publish(feed, full, sample, mode, sample_order=["point_of_sale_code", "product_code", "delivery_date"])
-    return {"volume": stock.inbound_audit(open_orders, in_transit)}
+    return {"volume": volume()}
 
 
 def import_sales(
@@ -209,17 +229,8 @@ def import_sales(
     raw = check_columns(read, sales.REQUIRED, "sales")
     store_rows = read_feed(spark, stores)
     base_prices, retail_prices = (price.price_clean(read_feed(spark, p, sep="|")) for p in (base, retail))
-    feed = sales.sales_feed(
-        raw,
-        store_rows,
-        base_prices,
-        retail_prices,
-        is_return,
-        online,
-        keys,
-    )
+    audited = sales.sales_feed(raw, store_rows, base_prices, retail_prices, is_return, online, keys, audit=True)
+    feed, unmatched = sales.observed_sales(audited)
     publish(feed, full, sample, mode, sample_order=[*keys, "store_code", "product_code", "sale_date"])
-    return {
-        "rows": feed.agg(F.count(F.lit(1)).alias("rows")),
-        "unmatched": sales.unmatched_codes(raw, store_rows, base_prices, retail_prices),
-    }
+    found = unmatched()
+    return {"rows": found.select(F.col("sales").alias("rows")), "unmatched": found}

@@ -12,8 +12,8 @@ from pyspark.sql.window import Window
 from ..functions.retail import CLOSED
 from ..functions.text import DATE_FORMATS, map_value, parse_date, parse_decimal, strip_last
 from ..operators.delta import delta
-from ..operators.enrich import exclude_value, keep_known, only, since, stack
-from ..operators.keys import distinct_keys
+from ..operators.enrich import exclude_value, keep_known, maybe_known, only, since, stack
+from ..operators.keys import distinct_keys, global_rank
 from ..operators.schema import check_columns, select_parsed
 from ..operators.temporal import lowest_value, validity
 from ..sources.read import find_column, first_column
@@ -99,6 +99,7 @@ def current_prices(
     products: DataFrame,
     min_date: dt.date | str | None = None,
     currency: str | None = None,
+    expected_products: int | None = None,
 ) -> DataFrame:
     """Lowest price per source, market zone, product and day.
 
@@ -108,10 +109,14 @@ def current_prices(
 
     Products are checked after the aggregation, where a product has at most one
     row per list and day; Catalyst moves the check below it if it can broadcast.
+    For feeds of mostly unknown products ``expected_products``, about how many
+    are known, drops nearly all others at the scan (see ``maybe_known``).
     """
     raw = stack({"base": base, "retail": retail})
     known = products.select(F.trim(first_column(products, "product_code", "code")).alias("product_code"))
     prices = keep_known(price_clean(raw, min_date), served, ["source", "zone"])
+    if expected_products is not None:
+        prices = maybe_known(prices, known, ["product_code"], expected_products)
     prices = prices.withColumn("market_code", strip_last("zone"))
     keys = ["source", "market_code", "product_code", "start_date"]
     if currency is None:
@@ -121,9 +126,21 @@ def current_prices(
     return keep_known(lowest, known, ["product_code"])
 
 
-def rank_names(names: DataFrame, column: str, rank: str = "priority") -> DataFrame:
-    """Alphabetical rank 1..n of the distinct names; there is one name per price list."""
-    return names.select(column).distinct().withColumn(rank, F.row_number().over(Window.orderBy(column)))
+# Price lists a feed may have while their names are ranked in one task; there is one per source and market zone.
+MOST_LISTS = 100_000
+
+
+def rank_names(names: DataFrame, column: str, rank: str = "priority", few: bool = False) -> DataFrame:
+    """Alphabetical rank 1..n of the distinct names; there is one name per price list.
+
+    ``few`` ranks them in one task and raises if there are more than
+    ``MOST_LISTS``; otherwise ranges of names are ranked apart (``global_rank``).
+    """
+    if not few:
+        return global_rank(names, column, rank).withColumn(rank, F.col(rank).cast("int"))
+    ranked = names.select(column).distinct().withColumn(rank, F.row_number().over(Window.orderBy(column)))
+    bound = F.assert_true(F.col(rank) <= MOST_LISTS, f"more than {MOST_LISTS} price lists: rank them with many_lists")
+    return ranked.filter(bound.isNull())
 
 
 def with_name(prices: DataFrame) -> DataFrame:
@@ -131,11 +148,11 @@ def with_name(prices: DataFrame) -> DataFrame:
     return prices.withColumn("name", F.concat(map_value("source", LIST_PREFIX), F.col("market_code")))
 
 
-def with_priority(prices: DataFrame) -> DataFrame:
+def with_priority(prices: DataFrame, many_lists: bool = False) -> DataFrame:
     """Add the list name and its priority among the lists that have prices."""
     named = with_name(prices)
-    # the filter is always true; it keeps the value in this branch, so that both read one shuffle of the prices
-    ranked = rank_names(named.filter(F.col("value") > 0), "name")
+    # prices are positive; asking for it keeps the value in this branch, so that both read one shuffle of the prices
+    ranked = rank_names(named.filter(F.col("value") > 0), "name", few=not many_lists)
     # every name has a rank; an inner join would push a null check on the built name down to the scan
     return named.join(ranked, "name", "left")
 
@@ -150,6 +167,8 @@ def price_feed(
     currency: str | None = None,
     known: DataFrame | None = None,
     compare: Sequence[str] = ("end_date",),
+    expected_products: int | None = None,
+    many_lists: bool = False,
 ) -> DataFrame:
     """The price feed; with ``known`` (the price dictionary) only new and changed rows (DELTA).
 
@@ -158,9 +177,9 @@ def price_feed(
     if one of the columns ``compare`` (end_date, value) differs.
     """
     served = served_zones(stores, zones)
-    prices = current_prices(base, retail, served, products, min_date, currency)
+    prices = current_prices(base, retail, served, products, min_date, currency, expected_products)
     dated = validity(prices, ["source", "market_code", "product_code"], "start_date")
-    full = with_priority(dated).select(
+    full = with_priority(dated, many_lists).select(
         "name",
         F.col("name").alias("external_id"),
         map_value("source", PRICE_TYPE).alias("price_type_id"),

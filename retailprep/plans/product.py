@@ -13,7 +13,7 @@ from ..functions.text import is_blank, parse_decimal, sku, suffixed
 from ..operators.attributes import consensus, join_attributes, pivot_attributes
 from ..operators.enrich import exclude_value, keep_active, keep_known, new_rows
 from ..operators.keys import dedupe
-from ..operators.quality import Check, blank_check, quality_report, require_keys
+from ..operators.quality import Check, Report, blank_check, quality_counts, quality_report, require_keys
 from ..operators.schema import Spec, attribute_columns, check_columns, clean_name, conform
 from ..session import settle
 from ..sources.read import find_column, with_columns_or_null
@@ -181,10 +181,14 @@ def product_output(df: DataFrame, names: Sequence[str], known: DataFrame | None
     return conform(df, PRODUCT, attribute_columns(df, names, PRODUCT.columns))
 
 
+def product_counts() -> Report:
+    """Quality report on raw products: blanks in what a product must have."""
+    return quality_counts([blank_check(c) for c in REQUIRED])
+
+
 def product_report(raw: DataFrame) -> DataFrame:
-    """Quality report on raw products: blank keys and products without a department."""
-    df = check_columns(raw, REQUIRED, "product")
-    return quality_report(df, [blank_check(c) for c in REQUIRED])
+    """See ``product_counts``."""
+    return product_counts().of(check_columns(raw, REQUIRED, "product"))
 
 
 def department_report(df: DataFrame) -> DataFrame:

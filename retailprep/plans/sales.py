@@ -8,7 +8,7 @@ this package's choice.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,8 +18,9 @@ from ..functions.retail import market_code, normalise_country, signed
 from ..functions.text import DATE_FORMATS, parse_date, parse_decimal
 from ..operators.enrich import lookup_join
 from ..operators.keys import first_rows
+from ..operators.quality import Report
 from ..operators.schema import check_columns
-from ..operators.temporal import asof_join, price_fallback
+from ..operators.temporal import asof_window, price_fallback
 from ..session import settle
 
 REQUIRED = ("store_code", "product_code", "sale_date", "quantity", "value")
@@ -32,12 +33,13 @@ def sign_returns(df: DataFrame, is_return: Column, columns: Sequence[str]) -> Da
     return df.withColumns({c: signed(c, is_return) for c in columns})
 
 
-def _zone_prices(sold: DataFrame, base: DataFrame, retail: DataFrame) -> DataFrame:
-    """Both prices per distinct product, pair of zones and day.
+def _zone_prices(sold: DataFrame, base: DataFrame, retail: DataFrame, audit: bool) -> DataFrame:
+    """Both prices per distinct product, pair of zones and day; with ``audit`` also whether the product has any price.
 
     Looking prices up here, not per sale, shuffles the sales once instead of
     once per list.  What is distinct is written once: both lookups read it, not
-    the sales.
+    the sales, and window it as it is: a pair of zones is a store's, so that a
+    product, zone and day have few rows.
     """
     out = settle(sold.select(*PRICED_BY).distinct())
     for zone, quotes, price in (("first_price", base, "price_base"), ("actual_price", retail, "price_promo")):
@@ -48,8 +50,13 @@ def _zone_prices(sold: DataFrame, base: DataFrame, retail: DataFrame) -> DataFra
             F.col("start_date").alias(day),
             F.col("value").alias(price),
         )
-        out = asof_join(out, lists, ["product_code", zone], "sale_date", day, [price])
-    return out.select(*[F.col(c).alias(f"__{c}") for c in PRICED_BY], "price_base", "price_promo")
+        out = asof_window(out, lists, ["product_code", zone], "sale_date", day, [price])
+    extra = []
+    if audit:
+        listed = base.select("product_code").unionByName(retail.select("product_code"))
+        listed = listed.select(F.trim("product_code").alias("product_code")).distinct().withColumn("__priced", F.lit(True))
+        out, extra = lookup_join(out, listed, ["product_code"]), ["__priced"]
+    return out.select(*[F.col(c).alias(f"__{c}") for c in PRICED_BY], "price_base", "price_promo", *extra)
 
 
 def sales_feed(
@@ -60,12 +67,14 @@ def sales_feed(
     is_return: Column,
     online: Sequence[str] = (),
     keys: Sequence[str] = (),
+    audit: bool = False,
 ) -> DataFrame:
     """The sales feed, one row per sale.
 
     ``stores`` gives country and price zones, ``base`` and ``retail`` are clean
     prices (product_code, zone, start_date, value).  ``keys`` pass through.
-    Codes are trimmed.
+    Codes are trimmed.  ``audit`` adds the flags ``unknown_store`` (not listed)
+    and ``without_price`` (no price of the product at all); see ``observed_sales``.
     """
     check_columns(sales, REQUIRED, "sales")
     order = [F.col(c).asc_nulls_last() for c in ("country", "first_price", "actual_price")]
@@ -85,9 +94,10 @@ def sales_feed(
         typed["sale_date"] = parse_date("sale_date", DATE_FORMATS)
     sold = sign_returns(sales.withColumns(typed), is_return, ["quantity", "value"])
     sold = sold.select(*keys, *REQUIRED).withColumns({c: F.trim(c) for c in ("store_code", "product_code")})
-    sold = lookup_join(sold, zones, ["store_code"])
+    sold = lookup_join(sold, zones.withColumn("__listed", F.lit(True)) if audit else zones, ["store_code"])
+    flags = {"unknown_store": "__listed", "without_price": "__priced"} if audit else {}
     priced = sold.join(
-        _zone_prices(sold, base, retail),
+        _zone_prices(sold, base, retail, audit),
         reduce(lambda x, y: x & y, [sold[c].eqNullSafe(F.col(f"__{c}")) for c in PRICED_BY]),
         "left",
     )
@@ -103,9 +113,18 @@ def sales_feed(
         F.col("price_base").try_cast(MONEY).alias("price_base"),
         F.col("price_promo").try_cast(MONEY).alias("price_promo"),
         price_fallback("price_promo", "price_base", unit_price).try_cast(MONEY).alias("price"),
+        *[F.col(found).isNull().alias(flag) for flag, found in flags.items()],
     )
 
 
+def observed_sales(audited: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The feed without its flags, and its ``unmatched_codes``, counted while the feed is written."""
+    flags = ("unknown_store", "without_price")
+    counts = Report({"sales": F.count(F.lit(1))} | {flag: F.count_if(flag) for flag in flags}, lambda line: line)
+    feed, report = counts.observed(audited)
+    return feed.drop(*flags), report
+
+
 def unmatched_codes(sales: DataFrame, stores: DataFrame, base: DataFrame, retail: DataFrame) -> DataFrame:
     """One row: sales, those of a store that is not listed, and those of a product without any price."""
     trimmed = {c: F.trim(c) for c in ("store_code", "product_code")}

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, parse_date, parse_decimal
 from ..operators.enrich import stack
-from ..operators.quality import null_profile, volume_audit
+from ..operators.quality import audited, null_counts, null_profile, volume_audit
 from ..operators.schema import Spec, check_columns, conform
 
 UNIT = "ST"
@@ -93,6 +95,12 @@ def warehouse_stock_feed(raw: DataFrame) -> DataFrame:
     return conform(_warehouse_clean(raw), WAREHOUSE_STOCK)
 
 
+def warehouse_feed_profiled(raw: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``warehouse_stock_feed`` and its ``warehouse_profile``, which is counted while the feed is written."""
+    clean, report = null_counts(WAREHOUSE_REQUIRED).observed(_warehouse_clean(raw))
+    return conform(clean, WAREHOUSE_STOCK), report
+
+
 def warehouse_profile(raw: DataFrame) -> DataFrame:
     """Blanks per required column after cleaning; rows with blanks stay in the feed."""
     return null_profile(_warehouse_clean(raw), WAREHOUSE_REQUIRED)
@@ -133,5 +141,11 @@ def inbound_feed(orders: DataFrame, transit: DataFrame) -> DataFrame:
     return conform(rows, INBOUND)
 
 
+def inbound_feed_audited(orders: DataFrame, transit: DataFrame) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """``inbound_feed`` and its ``inbound_audit``, which is counted while the feed is written."""
+    kept, report = audited(inbound_rows(orders, transit), inbound_reasons())
+    return conform(kept, INBOUND), report
+
+
 def inbound_audit(orders: DataFrame, transit: DataFrame) -> DataFrame:
     return volume_audit(inbound_rows(orders, transit), inbound_reasons())

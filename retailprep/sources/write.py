@@ -33,6 +33,7 @@ def write_feed(
     partition_by: str | None = None,
     null_as: str = "",
     part_rows: int = PART_ROWS,
+    replace: str = "ALL",
     **options,
 ) -> None:
     """Write a feed: ``;``, header, UTF-8, ``null_as`` (empty text) for NULL.
@@ -43,16 +44,22 @@ def write_feed(
     column so that a value with many rows still spreads over several parts.
     ``partition_by`` puts each value (a price list) into its own folder in one
     job; the rebalance splits a large list over several tasks and keeps a small
-    one in one.
+    one in one.  ``replace="LISTS"`` then replaces the folders of the lists that
+    come and leaves all others; until the job is committed, and if it fails,
+    the old folders stay as they are.
     """
     if partition_by and order_by:
         raise ValueError("partition_by excludes order_by")
+    if replace not in ("ALL", "LISTS") or (replace == "LISTS" and not partition_by):
+        raise ValueError(f"cannot replace {replace!r}: expected ALL, or LISTS of a feed with partition_by")
     if order_by:
         df = df.orderBy(*order_by)
     if partition_by:
         folder = f"{partition_by}_key"
         df = df.withColumn(folder, F.col(partition_by)).hint("rebalance", folder)
-        writer = df.write.partitionBy(folder)
+        # the write's own setting, whatever the session has
+        dynamic = "dynamic" if replace == "LISTS" else "static"
+        writer = df.write.partitionBy(folder).option("partitionOverwriteMode", dynamic)
     else:
         writer = df.write
     writer.mode("overwrite").options(**{**OPTIONS, "maxRecordsPerFile": part_rows, "nullValue": null_as, **options}).csv(path)
