@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 import hashlib
+import sys
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .read import path_below
 
+# Workers get what they run with the task and need this package from nowhere else.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Fixed values of the manifest format.
 ALGORITHM = "SHA1"
 MANIFEST = "manifest"
@@ -90,7 +95,7 @@ def file_manifest(spark: SparkSession, folder: str, longest: int = LONGEST_FILE)
 
     Files are hashed where they are read: those of up to ``longest`` bytes as
     one row each, longer ones as a stream of lines (``long_checksums``).  A
-    manifest at the top is left out.
+    manifest at the top is left out, and Spark's sources do not show empty files.
     """
     files = (
         spark.read.format("binaryFile")
