@@ -42,6 +42,8 @@ HELD = 1 << 20
 UNITS_OF_ANCHOR = 4096
 # Bytes of fragments sorted together, and suffixes held by one block of them.
 BUCKET_BYTES = 8 << 20
+# Bytes of text whose units make up a bucket.
+TEXT_BYTES = 8 << 20
 BLOCK_SUFFIXES = 1 << 18
 PERIOD = 32
 LAST = 2**63 - 1
@@ -127,8 +129,9 @@ def sent_units(least: int, buckets: int):
         hashes, unit, place = (np.concatenate(x) for x in zip(*held, strict=True))
         keep, gone = first_of_each(unit, place)
         out = []
-        # Buckets by the high bits of the anchor's hash; 32 more bits tell anchors of a bucket apart.
-        bucket = ((hashes >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        # Buckets by high bits of the anchor's hash, which is mixed anew: anchors have the least hashes of their windows,
+        # so most of those begin with zeros.  32 bits of the hash itself tell anchors of a bucket apart.
+        bucket = ((mixed(hashes) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
         short = hashes.astype(np.uint32)
         for done, some in ((False, keep), (True, gone)):
             some = some[np.argsort(bucket[some], kind="stable")]
@@ -532,6 +535,12 @@ def windows_gone(unit: np.ndarray, low: np.ndarray, high: np.ndarray, names: lis
     return (np.repeat(low, count) + index)[gone]
 
 
+def bucket_count(texts: DataFrame) -> int:
+    """Buckets for units, by the bytes of the texts: their number grows with the input, what a task holds does not."""
+    held = texts.agg(F.sum(F.octet_length("data"))).first()[0] or 0
+    return max(2 * int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), held // TEXT_BYTES)
+
+
 def without_repeats(
     documents: DataFrame,
     least: int = LEAST_BYTES,
@@ -553,10 +562,9 @@ def without_repeats(
     removed whole.  An empty table gives no rows.  Other columns stay; the text
     of a document is shuffled once.
     """
-    spark = documents.sparkSession
-    buckets = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     place = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("place")
     texts = documents.select(place, F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("data"))
+    buckets = bucket_count(texts)
     sent = texts.mapInArrow(sent_units(least, buckets), SENT)
     known = sent.repartition(buckets, "bucket").sortWithinPartitions("bucket")
     known = settle(known.mapInArrow(matched(units_of_anchor), "place long, unit long, fate int"))

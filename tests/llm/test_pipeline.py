@@ -5,7 +5,7 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from test_lines import plain as plain_lines
+from test_lines import plain_texts
 from test_packing import check
 from test_substrings import plain as plain_substrings
 
@@ -24,18 +24,8 @@ def rows_of(df):
 
 
 def without_lines(rows):
-    gone = {(i, k, name) for i, k, name, kept, *_ in plain_lines([(r[0], r[1]) for r in rows]) if not kept}
-    import hashlib
-
-    from test_lines import norm
-
-    out = []
-    for doc_id, text, *rest in rows:
-        if text is not None:
-            lines = text.split("\n")
-            text = "\n".join(x for k, x in enumerate(lines) if (doc_id, k, hashlib.md5(norm(x).encode()).hexdigest()) not in gone)
-        out.append((doc_id, text, *rest[:-1], None if text is None else len(text)))
-    return sorted(out, key=str)
+    texts = plain_texts([(r[0], r[1]) for r in rows])
+    return sorted(((r[0], text, *r[2:-1], None if text is None else len(text)) for r, text in zip(rows, texts, strict=True)), key=str)
 
 
 def shingles(text, size=5):
