@@ -17,6 +17,9 @@ SETTINGS = {
 }
 
 
+# Spark then deletes the shuffle files of a query when it ends, not when the driver happens to collect garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # Feeds shuffle a few parsed columns after map-side aggregation, about a tenth of
 # what they read: a partition per 2 GB of input sorts some 200 MB.
 INPUT_BYTES_PER_PARTITION = 2 * 1024**3
@@ -71,13 +74,19 @@ def clear_scratch(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def settle(df: DataFrame) -> DataFrame:
+def settle(df: DataFrame, codec: str = "snappy") -> DataFrame:
     """Write ``df`` once to the shared folder and read from there afterwards.
 
     For frames that feed several actions: it survives lost executors, and no
-    action recomputes the plan.
+    action recomputes the plan.  What was shuffled for the write is freed with
+    its end, as nothing reads it again.
     """
     spark = df.sparkSession
     path = scratch_path(spark, "settled")
-    df.write.parquet(path)
+    before = spark.conf.get(FREE_SHUFFLES)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.option("compression", codec).parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
