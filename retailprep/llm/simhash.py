@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..session import settle
 from .components import Forest, components, looked_up
-from .text import BASE, SECOND, SLICE_BYTES, mixed
+from .text import BASE, SECOND, SLICE_BYTES, mixed, parts_of
 from .tiles import dealt, met, neighbours, small_and_large
 
 SEED = 42
@@ -61,7 +61,7 @@ def shingle_hashes(text: bytes, size: int) -> Iterator[np.ndarray]:
         yield np.array([digest(b" ".join(carry), SEED)], np.uint64)
 
 
-def fingerprint(text: bytes, size: int, words: int, hands: int) -> tuple[bytes, np.ndarray]:
+def fingerprint(shingles: Iterable[np.ndarray], words: int, hands: int) -> tuple[bytes, np.ndarray]:
     """64 * words bits, each set if set in over half of the hashes, and ``hands`` least hashes.
 
     Without words all bits are zero.
@@ -69,7 +69,7 @@ def fingerprint(text: bytes, size: int, words: int, hands: int) -> tuple[bytes,
     counts = np.zeros(64 * words, np.int64)
     least = np.full(hands, np.uint64(0xFFFFFFFFFFFFFFFF))
     n = 0
-    for h in shingle_hashes(text, size):
+    for h in shingles:
         n += len(h)
         for k in range(words):
             part = h if k == 0 else mixed(h + SECOND * np.uint64(k))
@@ -80,8 +80,8 @@ def fingerprint(text: bytes, size: int, words: int, hands: int) -> tuple[bytes,
     return np.packbits(2 * counts > n).tobytes(), least
 
 
-def distinct_shingles(text: bytes, size: int) -> np.ndarray:
-    return np.unique(np.concatenate([np.empty(0, np.uint64), *shingle_hashes(text, size)]))
+def distinct(shingles: Iterable[np.ndarray]) -> np.ndarray:
+    return np.unique(np.concatenate([np.empty(0, np.uint64), *shingles]))
 
 
 def block_keys(prints: np.ndarray, radius: int) -> np.ndarray:
@@ -108,33 +108,35 @@ def hand_keys(least: np.ndarray) -> np.ndarray:
 
 
 def printed(documents: DataFrame, size: int, words: int, radius: int, with_sets: bool = False) -> DataFrame:
-    """(doc_id, place, name, print, keys, shingles) of every document; rows that share id and text share the name.
+    """(doc_id, place, name, print, keys) of every document; rows that share id and text share the name.
 
-    ``with_sets``: shingles are the hashes of the document's distinct ones, and
-    the print ends with a hash of these, so that only equal sets share it.
+    ``with_sets``: the print ends with a hash of the document's distinct
+    shingles, so that only equal sets share it.
     """
     hands = 0 if words == 1 else HANDS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = [fingerprint(t.as_py() or b"", size, words, hands) for t in batch.column("text")]
-            prints = [p for p, _ in made]
-            sets = pa.nulls(len(made), pa.list_(pa.int64()))
-            if with_sets:
-                found = [distinct_shingles(t.as_py() or b"", size) for t in batch.column("text")]
-                prints = [p + xxhash.xxh64_digest(f.tobytes(), SEED) for p, f in zip(prints, found, strict=True)]
-                sets = pa.array([f.view(np.int64) for f in found], pa.list_(pa.int64()))
+            made, ends = [], []
+            for text in batch.column("text"):
+                hashes = shingle_hashes(text.as_py() or b"", size)
+                if with_sets:
+                    hashes = list(hashes)
+                    ends.append(xxhash.xxh64_digest(distinct(hashes).tobytes(), SEED))
+                made.append(fingerprint(hashes, words, hands))
             if not made:
                 continue
+            prints = [p for p, _ in made]
             if hands:
                 keys = hand_keys(np.stack([k for _, k in made]))
             else:
                 keys = block_keys(np.frombuffer(b"".join(prints), ">u8").astype(np.uint64), radius)
             offsets = np.arange(0, keys.size + 1, keys.shape[1], dtype=np.int32)
+            prints = [p + end for p, end in zip(prints, ends, strict=True)] if with_sets else prints
             rest = [batch.column(c) for c in ("doc_id", "place", "name")]
             yield pa.RecordBatch.from_arrays(
-                [*rest, pa.array(prints, pa.binary()), pa.ListArray.from_arrays(offsets, keys.ravel()), sets],
-                names=["doc_id", "place", "name", "print", "keys", "shingles"],
+                [*rest, pa.array(prints, pa.binary()), pa.ListArray.from_arrays(offsets, keys.ravel())],
+                names=["doc_id", "place", "name", "print", "keys"],
             )
 
     texts = documents.select(
@@ -143,7 +145,7 @@ def printed(documents: DataFrame, size: int, words: int, radius: int, with_sets:
         name_of(F.col("doc_id"), F.col("text")).alias("name"),
         F.col("text").cast("binary").alias("text"),
     )
-    return texts.mapInArrow(run, "doc_id long, place long, name binary, print binary, keys array<long>, shingles array<long>")
+    return texts.mapInArrow(run, "doc_id long, place long, name binary, print binary, keys array<long>")
 
 
 def name_of(doc_id: Column, text: Column) -> Column:
@@ -209,24 +211,47 @@ def apart(radius: int):
     return compare
 
 
-def sharing(pairs: DataFrame, prints: DataFrame, share: float) -> DataFrame:
-    """(a, b) of the pairs of fingerprints whose sets of shingles have ``share`` of all in common."""
-    pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    sets = prints.select("print", "shingles").dropDuplicates(["print"])
+def sets_of(wanted: DataFrame, documents: DataFrame, size: int) -> DataFrame:
+    """(print, shingles): the hashes of the distinct shingles of the documents given by (name, print), made from their texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts_of(batches, 64):
+            sets = [distinct(shingle_hashes(t.as_py() or b"", size)).view(np.int64) for t in batch.column("text")]
+            yield pa.RecordBatch.from_arrays([batch.column("print"), pa.array(sets, pa.list_(pa.int64()))], names=["print", "shingles"])
+
+    rows = documents.select(name_of(F.col("doc_id"), F.col("text")).alias("name"), F.col("text").cast("binary").alias("text"))
+    rows = looked_up(rows, wanted.hint("shuffle_hash"), "name")
+    # Repeated rows share their name.
+    return rows.groupBy("print").agg(F.first("text").alias("text")).mapInArrow(run, "print binary, shingles array<long>")
+
+
+def sharing(pairs: DataFrame, names: DataFrame, documents: DataFrame, size: int, share: float) -> DataFrame:
+    """(a, b) of the pairs of fingerprints whose sets of shingles have ``share`` of all in common.
+
+    ``names`` has a document, by name, for every fingerprint.  Sets are made
+    for those in a pair only; no other text leaves the task that reads it.
+    """
+    pairs = settle(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    met = pairs.select(F.col("a").alias("print")).union(pairs.select("b")).distinct()
+    sets = settle(sets_of(looked_up(names, met, "print"), documents, size))
     left = sets.select(F.col("print").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("print").alias("b"), F.col("shingles").alias("y"))
     common = F.size(F.array_intersect("x", "y"))
     enough = common >= share * (F.size("x") + F.size("y") - common) - 1e-9
-    return looked_up(looked_up(pairs, left, "a"), right, "b").where(enough).select("a", "b")
+    return settle(looked_up(looked_up(pairs, left, "a"), right, "b").where(enough).select("a", "b"))
 
 
-def verified_components(placed: DataFrame, prints: DataFrame, radius: int, share: float, tile_rows: int) -> DataFrame:
+def verified_components(
+    placed: DataFrame, prints: DataFrame, documents: DataFrame, size: int, radius: int, share: float, tile_rows: int
+) -> DataFrame:
     """Components of the links that hold exactly: those of a forest first, then all between what is still apart."""
+    names = settle(prints.groupBy("print").agg(F.min("name").alias("name")))
     tiles = settle(dealt(placed, "print", tile_rows))
-    links = settle(sharing(met(tiles, compared(radius, True), "a binary, b binary"), prints, share))
+    links = sharing(met(tiles, compared(radius, True), "a binary, b binary"), names, documents, size, share)
     found = components(links).withColumnRenamed("node", "print")
     tiles = looked_up(tiles, found, "print", "left").withColumn("component", F.coalesce("component", "print"))
-    return components(links.union(sharing(met(tiles, apart(radius), "a binary, b binary"), prints, share)))
+    more = sharing(met(tiles, apart(radius), "a binary, b binary"), names, documents, size, share)
+    return components(links.union(more))
 
 
 def link_tiles(prints: np.ndarray, left: np.ndarray, right: np.ndarray, radius: int, forest: Forest) -> None:
@@ -285,13 +310,13 @@ def simhash_groups(
     if share is None:
         found = components(met(dealt(placed, "print", tile_rows), compared(radius), "a binary, b binary"))
     else:
-        found = verified_components(placed, prints, radius, share, tile_rows)
+        found = verified_components(placed, prints, documents, shingle, radius, share, tile_rows)
     firsts = prints.groupBy("print").agg(F.min(F.struct("place", "name")).alias("first"))
     grouped = looked_up(firsts, found.withColumnRenamed("node", "print"), "print", "left")
     grouped = grouped.withColumn("component", F.coalesce("component", "print"))
     names = grouped.groupBy("component").agg(F.min("first").alias("first"))
     lookup = looked_up(grouped.select("print", "component"), names, "component").select("print", "first")
-    out = looked_up(prints.drop("keys", "shingles"), lookup, "print")
+    out = looked_up(prints.drop("keys"), lookup, "print")
     return out.select(
         "doc_id",
         F.lower(F.hex(F.substring("print", 1, 8 * words))).alias("fingerprint"),
