@@ -535,6 +535,34 @@ def windows_gone(unit: np.ndarray, low: np.ndarray, high: np.ndarray, names: lis
     return (np.repeat(low, count) + index)[gone]
 
 
+def units_by_slot(least: int):
+    """(slot, unit) of the units of each text, each once a batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts_of(batches):
+            slot = batch.column("slot").to_numpy()
+            for _, first, _, row, _, _, _, _, unit in unit_runs(batch.column("data"), least):
+                pairs = np.unique(np.stack((slot[first + row], unit.view(np.int64))), axis=1)
+                if pairs.size:
+                    yield pa.RecordBatch.from_arrays([pa.array(pairs[0]), pa.array(pairs[1])], names=["slot", "unit"])
+
+    return run
+
+
+def by_row(found: DataFrame, slots: DataFrame, value: str) -> DataFrame:
+    """(row, met): the units found at each place, and what was found of them; ``row`` is (place, slot).
+
+    Rows without an id share one place.  What was found there is dealt to them
+    by their own units, so that no list holds more than the units of one text;
+    the slot is a hash of the text, as equal texts have equal units.
+    """
+    of_ids = found.where(F.col("place") != LAST).withColumn("slot", F.lit(0).cast("long"))
+    at_last = found.where(F.col("place") == LAST).groupBy("unit").agg(F.collect_set(value).alias(value))
+    of_others = looked_up(slots, at_last, "unit").select(F.lit(LAST).alias("place"), "unit", F.explode(value).alias(value), "slot")
+    both = of_ids.select("place", "slot", "unit", value).union(of_others.select("place", "slot", "unit", value))
+    return both.groupBy(F.struct("place", "slot").alias("row")).agg(F.collect_list(F.struct("unit", value)).alias("met"))
+
+
 def bucket_count(texts: DataFrame) -> int:
     """Buckets for units, by the bytes of the texts: their number grows with the input, what a task holds does not."""
     held = texts.agg(F.sum(F.octet_length("data"))).first()[0] or 0
@@ -571,15 +599,18 @@ def without_repeats(
 
     # Both joins with the texts shuffle the same rows alike, so Spark does it once.
     rest = [c for c in documents.columns if c not in ("text", kept, spans)]
-    rows = documents.select(place, F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row_id"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("data"))
-    check = known.where(F.col("fate") != GONE).groupBy("place").agg(F.collect_list(F.struct("unit", "fate")).alias("met"))
-    look = looked_up(rows, check.hint("shuffle_hash"), "place")
-    look = look.select("place", "row_id", "data", F.col("met.unit").alias("units"), F.col("met.fate").alias("fates"))
+    data = F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("data")
+    slot = F.when(place == LAST, F.xxhash64(data)).otherwise(F.lit(0).cast("long")).alias("slot")
+    rows = documents.select(F.struct(place, slot).alias("row"), F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row_id"), data)
+    others = documents.where(F.col("doc_id").isNull() | (F.col("doc_id").cast("long") == LAST)).select(slot, data)
+    slots = settle(others.mapInArrow(units_by_slot(least), "slot long, unit long").distinct())
+    check = by_row(known.where(F.col("fate") != GONE), slots, "fate")
+    look = looked_up(rows, check.hint("shuffle_hash"), "row")
+    look = look.select(F.col("row.place").alias("place"), "row_id", "data", F.col("met.unit").alias("units"), F.col("met.fate").alias("fates"))
     sorted_keys = look.mapInArrow(fragments(least), FRAGMENT).repartition(buckets, "key").sortWithinPartitions("key")
     verdicts = sorted_keys.mapInArrow(sorted_buckets(least, bucket_bytes), "place long, unit long, mask long")
     gone = known.where(F.col("fate") == GONE).select("place", "unit", F.lit(ALL).cast("long").alias("mask")).union(verdicts)
-    gone = gone.groupBy("place").agg(F.collect_list(F.struct("unit", "mask")).alias("met"))
-    whole = looked_up(rows, gone.hint("shuffle_hash"), "place", "left")
+    whole = looked_up(rows, by_row(gone, slots, "mask").hint("shuffle_hash"), "row", "left")
     whole = whole.select("row_id", "data", F.col("met.unit").alias("units"), F.col("met.mask").alias("masks"))
     schema = whole.select("row_id", F.lit(b"").alias("kept"), F.expr("CAST(array() AS array<struct<begin:bigint,end:bigint>>)").alias("spans")).schema
     return whole.mapInArrow(cut_out(least, by_characters), schema).select("row_id.*", F.col("kept").alias(kept), F.col("spans").alias(spans))

@@ -5,7 +5,7 @@ import random
 import numpy as np
 import pytest
 
-from retailprep.llm.substrings import CoverRanks, difference_cover, sorted_blocks, without_repeats
+from retailprep.llm.substrings import CoverRanks, by_row, difference_cover, sorted_blocks, without_repeats
 
 LAST = 2**63 - 1
 
@@ -107,6 +107,17 @@ def test_many_contexts_of_one_passage(spark):
         assert as_rows(without_repeats(df, units_of_anchor=most)) == want
 
 
+def test_rows_without_ids(spark):
+    """A third of the rows has no id: none is handed more units than its own text has."""
+    rows = [(None if i % 3 == 0 else k, t) for i, (k, t) in enumerate(drawn(9, 90))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert as_rows(without_repeats(df)) == plain(rows, 50)
+    found = spark.createDataFrame([(LAST, u, 7) for u in range(1000)] + [(3, 1, 7), (3, 2, 7)], "place long, unit long, mask long")
+    slots = spark.createDataFrame([(s, u) for s in range(10) for u in range(s * 5, s * 5 + 5)], "slot long, unit long")
+    got = {(r.row.place, r.row.slot): sorted(m.unit for m in r.met) for r in by_row(found, slots, "mask").collect()}
+    assert got == {(3, 0): [1, 2], **{(LAST, s): list(range(s * 5, s * 5 + 5)) for s in range(10)}}
+
+
 def test_empty_table(spark):
     assert without_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
