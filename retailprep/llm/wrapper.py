@@ -18,8 +18,6 @@ from dataclasses import dataclass, field
 import numpy as np
 
 MANY = 3
-# Cells that are compared at a time; longer lists are halved.
-MOST_CELLS = 1 << 28
 
 
 @dataclass
@@ -44,21 +42,44 @@ class Part:
         return self.label, self.body is None
 
 
-def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Length of the longest common subsequence of ``a`` with each prefix of ``b``, in space of one row."""
-    row = np.zeros(len(b) + 1, np.int32)
+def bits(places: list[int], size: int) -> int:
+    """An integer of ``size`` bits with those at ``places`` set."""
+    if len(places) <= 8:
+        return sum(1 << k for k in places)
+    flags = np.zeros(size, bool)
+    flags[places] = True
+    return int.from_bytes(np.packbits(flags, bitorder="little").tobytes(), "little")
+
+
+def common(a: list[int], b: list[int]) -> np.ndarray:
+    """Length of the longest common subsequence of ``a`` with each prefix of ``b``, in space of some rows.
+
+    A row is one integer with a bit per place of ``b``, 0 where the length grows,
+    so a value of ``a`` takes a few operations on whole integers.  The places of
+    a value are kept as an integer if they are more than one in 64 of all.
+    """
+    places: dict[int, list[int]] = {x: [] for x in a}
+    kept = [k for k, x in enumerate(b) if x in places]
+    for at, k in enumerate(kept):
+        places[b[k]].append(at)
+    size = len(kept)
+    frequent = {x: bits(at, size) for x, at in places.items() if len(at) * 64 > size}
+    row = whole = (1 << size) - 1
     for x in a:
-        row[1:] = np.maximum(row[1:], row[:-1] + (b == x))
-        np.maximum.accumulate(row, out=row)
-    return row
+        hit = frequent[x] if x in frequent else bits(places[x], size)
+        if hit:
+            hit &= row
+            row = ((row + hit) | (row - hit)) & whole
+    out = np.zeros(len(b) + 1, np.int32)
+    stays = np.unpackbits(np.frombuffer(row.to_bytes(size // 8 + 1, "little"), np.uint8), count=size, bitorder="little")
+    out[1:][kept] = 1 - stays
+    return np.cumsum(out, dtype=np.int32)
 
 
 def matched(left: list, right: list) -> list[tuple[int, int]]:
     """The longest common subsequence of two lists, as pairs of places.
 
-    Equal ends first, then by halves, in linear space.  Lists that would take
-    more than ``MOST_CELLS`` comparisons are cut in the middle of both before,
-    so the result is then common, but perhaps not the longest.
+    Equal ends first, then by halves, in linear space, however long the lists are.
     """
     names: dict = {}
     a, b = (np.array([names.setdefault(x, len(names)) for x in side], np.int64) for side in (left, right))
@@ -80,10 +101,8 @@ def matched(left: list, right: list) -> list[tuple[int, int]]:
                 out.append((i, j + int(at[0])))
             continue
         half = (i + k) // 2
-        if (k - i) * (m - j) > MOST_CELLS:
-            cut = (j + m) // 2
-        else:
-            cut = j + int(np.argmax(common(a[i:half], b[j:m]) + common(a[half:k][::-1], b[j:m][::-1])[::-1]))
+        before, after, other = a[i:half].tolist(), a[half:k][::-1].tolist(), b[j:m].tolist()
+        cut = j + int(np.argmax(common(before, other) + common(after, other[::-1])[::-1]))
         todo += [(i, half, j, cut), (half, k, cut, m)]
     return sorted(out)
 

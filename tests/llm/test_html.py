@@ -221,3 +221,14 @@ def test_alignment_of_long_lists(monkeypatch):
     monkeypatch.setattr("retailprep.llm.wrapper.MOST_CELLS", 10_000)
     cut = matched(a, b)
     assert all(a[i] == b[j] for i, j in cut) and len(pairs) > len(cut) > 0.8 * len(pairs)
+
+
+def test_alignment_of_longest_lists():
+    """The common part is the longest at any size: of 400 million comparisons, and of lists that share no more than a third."""
+    size = 20_000
+    around = [(k + size // 3) % size for k in range(size)]
+    pairs = matched(list(range(size)), around)
+    assert all(k == around[j] for k, j in pairs) and len(pairs) == size - size // 3
+    assert all(p[0] < q[0] and p[1] < q[1] for p, q in zip(pairs, pairs[1:], strict=False))
+    apart = [k if k % 3 == 0 else -k for k in range(size)]
+    assert len(matched(list(range(size)), apart)) == len(range(0, size, 3))
