@@ -38,6 +38,29 @@ def validity(df: DataFrame, keys: Sequence[str], start: str, end: str = "end_dat
     return df.withColumn(end, F.date_sub(F.lead(start).over(window), 1))
 
 
+def lowest_first(df: DataFrame, keys: Sequence[str], start: str, value: str, carry: Sequence[str], flag: str) -> DataFrame:
+    """Add whether a row is the one that ``lowest_value`` takes of its key and day; in one shuffle by the keys.
+
+    Rows come out sorted by key and day, so that windows over the keys and days
+    that follow neither shuffle nor sort again.
+    """
+    ties = [F.col(c).asc_nulls_last() for c in (value, *carry)]
+    window = Window.partitionBy(*keys).orderBy(start, *ties)
+    placed = df.withColumns({"__before": F.lag(start).over(window), "__place": F.row_number().over(window)})
+    first = (F.col("__place") == 1) | ~F.col("__before").eqNullSafe(F.col(start))
+    return placed.withColumn(flag, first).drop("__before", "__place")
+
+
+def timeline(df: DataFrame, keys: Sequence[str], start: str, value: str, carry: Sequence[str] = (), end: str = "end_date") -> DataFrame:
+    """``validity`` of ``lowest_value`` in one shuffle and one sort.
+
+    For rows of which a key has few per day, as after ``lowest_value`` of each
+    of several snapshots; many of them are better aggregated before.
+    """
+    first = lowest_first(df, keys, start, value, carry, "__first").filter("__first").drop("__first")
+    return validity(first, keys, start, end)
+
+
 def asof_join(
     facts: DataFrame,
     quotes: DataFrame,
@@ -171,7 +194,10 @@ def accumulate(
     carry: Sequence[str] = (),
     end: str = "end_date",
 ) -> DataFrame:
-    """History and a new snapshot as one timeline: lowest value per key and day, then validity."""
+    """History and a new snapshot as one timeline: lowest value per key and day, then validity.
+
+    Both should have few rows per key and day (see ``timeline``).
+    """
     columns = [*keys, start, value, *carry]
     both = history.select(*columns).unionByName(snapshot.select(*columns))
-    return validity(lowest_value(both, [*keys, start], value, carry), keys, start, end)
+    return timeline(both, keys, start, value, carry, end)

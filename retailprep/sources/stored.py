@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..operators.temporal import accumulate, lowest_value
+from ..operators.temporal import lowest_first, validity
 from ..session import settle
 from .read import optional
 
@@ -77,21 +77,24 @@ def extend_history(
     are copied, and folders without such a key are neither read nor written.
     The changed folders are first written aside, then replaced; if the job
     fails, the old history stays, and running it again gives the same.  The
-    first snapshot starts the history.
+    first snapshot starts the history.  The lowest price of a key and day counts;
+    a snapshot with many is better reduced by ``lowest_value`` before.
     """
     part = _part(buckets)
     columns = [*keys, start, value, *carry]
-    lowest = lowest_value(snapshot.select(*columns), [*keys, start], value, carry)
-    new = settle(lowest.withColumn(part, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")))
+    new = settle(snapshot.select(*columns).withColumn(part, F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")))
     # at most one number per folder reaches the driver; as literals they prune the others from the scan
     touched = sorted(r[part] for r in new.select(part).distinct().collect())
     ddl = ", ".join(f"`{name}` {dtype}" for name, dtype in new.dtypes) + f", `{end}` date"
     stored = optional(lambda: read_history(spark, path, buckets), ddl, spark).filter(F.col(part).isin(touched))
-    again = new.select(*[F.col(c).alias(f"__{c}") for c in (*keys, part)]).distinct().withColumn("__again", F.lit(True))
-    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in (*keys, part)])
-    marked = stored.join(again, same, "left")
-    kept = marked.filter(F.col("__again").isNull()).select(*columns, end, part)
-    lines = accumulate(marked.filter("__again").select(*columns, part), new, [*keys, part], start, value, carry, end)
-    changed = settle(kept.unionByName(lines.select(*columns, end, part)))
+    # the stored rows of a key and those that come meet in one shuffle by the key
+    both = stored.select(*columns, end, part, F.lit(False).alias("__new")).unionByName(
+        new.select(*columns, F.lit(None).cast("date").alias(end), part, F.lit(True).alias("__new"))
+    )
+    placed = lowest_first(both, keys, start, value, carry, "__first")
+    placed = placed.withColumn("__again", F.max("__new").over(Window.partitionBy(*keys)))
+    lines = validity(placed.filter("__first OR NOT __again"), keys, start, "__end")
+    ends = F.when(F.col("__again"), F.col("__end")).otherwise(F.col(end)).alias(end)
+    changed = settle(lines.select(*columns, ends, part))
     changed.hint("rebalance", part).write.partitionBy(part).mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
     return touched
