@@ -228,15 +228,15 @@ def price_delta(t):
     earlier = price.price_feed(t.base_old, t.retail_old, t.store_raw, t.sku_dictionary)
     # the dictionary's other schema, every key twice as after two snapshots
     known = price.price_output(earlier).selectExpr(
-        "external_id", "product_code AS code", "start_date AS valid_from", "end_date AS valid_to", "value AS price"
+        "external_id", "product_code AS code", "start_date AS valid_from", "end_date AS valid_to", "value AS price", "explode(array(1, 2)) AS snapshot"
     )
-    return price.price_output(full_feed(t, known=known.unionByName(known)))
+    return price.price_output(full_feed(t, known=known))
 
 
 @query("price_delta_bucketed", PRICE_DELTA)
 def _(t):
     # the price dictionary as a table bucketed by the keys of a price: comparing does not shuffle it
-    keys = ["name", "product_code", "start_date"]
+    keys = ["product_code", "start_date", "name"]
     earlier = price.price_feed(t.base_old, t.retail_old, t.store_raw, t.sku_dictionary)
     name = f"prices_{uuid.uuid4().hex}"
     stored = store_bucketed(earlier.select(*keys, "end_date"), name, keys, buckets(t), scratch_path(t.spark, name))
@@ -298,14 +298,14 @@ PRICE_HISTORY = (
 def _(t):
     history = current(t, t.base_old, t.retail_old)
     snapshot = current(t, t.base_raw, t.retail_raw)
-    keys = ["source", "market_code", "product_code"]
+    keys = ["product_code", "market_code", "source"]
     return accumulate(history, snapshot, keys, "start_date", "value", ["currency_code"])
 
 
 @query("history_increment", PRICE_HISTORY)
 def _(t):
     # the history so far lies in folders; the snapshot changes those of its keys
-    keys = ["source", "market_code", "product_code"]
+    keys = ["product_code", "market_code", "source"]
     path = scratch_path(t.spark, "price_history")
     for base, retail in ((t.base_old, t.retail_old), (t.base_raw, t.retail_raw)):
         extend_history(t.spark, path, current(t, base, retail), keys, "start_date", "value", ["currency_code"], buckets=16)

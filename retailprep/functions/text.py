@@ -47,18 +47,44 @@ def parse_date(c: Column | str, formats: Sequence[str] | None = None) -> Column:
     """Date from the first matching format; without formats, from ISO text.
 
     Text is only parsed by a fixed-width format whose shape it has: parsing what
-    does not fit would raise and catch an exception for every row.
+    does not fit would raise and catch an exception for every row.  Year, month
+    and day of such a shape are read as ISO text, without a formatter.
     """
     text = to_col(c)
     if formats is None:
         return text.try_cast("date")
-    return F.coalesce(*[F.when(text.rlike(_shape(f)), F.try_to_date(text, f)) for f in formats])
+    return F.coalesce(*[F.when(text.rlike(_shape(f)), _dated(text, f)) for f in formats])
+
+
+# What the letters of a format may be, where not any two digits.
+DIGITS = {"yyyy": r"\d{4}", "HH": r"(?:[01]\d|2[0-3])", "mm": r"[0-5]\d", "ss": r"[0-5]\d"}
+PARTS = re.compile("yyyy|MM|dd|HH|mm|ss")
+
+
+def _in_parts(date_format: str) -> bool:
+    """Whether a format is made of a year, a month, a day and perhaps a time, each once in full width, and separators."""
+    parts = PARTS.findall(date_format)
+    plain = re.fullmatch("[ .:/-]*", PARTS.sub("", date_format)) is not None
+    return plain and len(set(parts)) == len(parts) and {"yyyy", "MM", "dd"} <= set(parts)
+
+
+def _dated(text: Column, date_format: str) -> Column:
+    """Date of a text that has the shape of the format."""
+    if not _in_parts(date_format):
+        return F.try_to_date(text, date_format)
+    if date_format.startswith("yyyy-MM-dd"):
+        return F.substring(text, 1, 10).try_cast("date")
+    parts = [F.substring(text, date_format.index(p) + 1, len(p)) for p in ("yyyy", "MM", "dd")]
+    return F.concat_ws("-", *parts).try_cast("date")
 
 
 def _shape(date_format: str) -> str:
     """Pattern of the texts a format may fit: its letters are digits; any text unless its width is fixed."""
     if not FIXED_WIDTH.fullmatch(date_format):
         return "(?s).*"
+    if _in_parts(date_format):
+        shape = PARTS.sub(lambda part: DIGITS.get(part[0], r"\d\d"), re.sub("[ .:/-]", lambda mark: f"[{mark[0]}]", date_format))
+        return rf"\A{shape}\z"
     digits = re.sub("[a-zA-Z]", lambda _: r"\d", re.escape(date_format))
     return rf"\A{digits}\z"
 

@@ -20,16 +20,22 @@ def delta(
 
     ``known`` may hold a key once per old snapshot; a row counts as changed if any
     of these versions differs.  Known versions are first reduced to the smallest
-    and largest one per key, so one left join finds both new and changed rows and
-    never multiplies them.
+    and largest value of each column per key and the number of those there are,
+    in a hash aggregation where dates and numbers are compared, so one left join
+    finds both new and changed rows and never multiplies them.
     """
-    version = F.struct(*[F.col(c).alias(f"v{i}") for i, c in enumerate(compare)])
-    versions = known.groupBy(*keys).agg(
-        F.min(version).alias("__low"), F.max(version).alias("__high")
-    )
+    sums = [
+        total
+        for i, c in enumerate(compare)
+        for total in (F.min(c).alias(f"__low{i}"), F.max(c).alias(f"__high{i}"), F.count(c).alias(f"__n{i}"))
+    ]
+    versions = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), *sums)
     joined = full.join(versions, list(keys), "left")
-    same = version.eqNullSafe(F.col("__low")) & version.eqNullSafe(F.col("__high"))
-    return joined.filter(F.col("__low").isNull() | ~same).select(*full.columns)
+    same = F.lit(True)
+    for i, c in enumerate(compare):
+        in_all = F.when(F.col(c).isNull(), F.lit(0)).otherwise(F.col("__n"))
+        same = same & F.col(c).eqNullSafe(F.col(f"__low{i}")) & F.col(c).eqNullSafe(F.col(f"__high{i}")) & (F.col(f"__n{i}") == in_all)
+    return joined.filter(F.col("__n").isNull() | ~same).select(*full.columns)
 
 
 def upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:

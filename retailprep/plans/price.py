@@ -123,7 +123,8 @@ def current_prices(
         lowest = lowest_value(prices, keys, "value", ["currency_code"])
     else:
         lowest = lowest_value(prices, keys, "value").withColumn("currency_code", F.lit(currency))
-    return keep_known(lowest, known, ["product_code"])
+    # by the product alone, as a product has few rows by now: the timelines that follow need no other shuffle
+    return lowest.join(distinct_keys(known, "product_code"), ["product_code"], "left_semi").select(*lowest.columns)
 
 
 # Price lists a feed may have while their names are ranked in one task; there is one per source and market zone.
@@ -153,8 +154,10 @@ def with_priority(prices: DataFrame, many_lists: bool = False) -> DataFrame:
     named = with_name(prices)
     # prices are positive; asking for it keeps the value in this branch, so that both read one shuffle of the prices
     ranked = rank_names(named.filter(F.col("value") > 0), "name", few=not many_lists)
+    # few names are bounded, and a join by the name would shuffle all prices to the tasks of their lists
+    lists = ranked if many_lists else F.broadcast(ranked)
     # every name has a rank; an inner join would push a null check on the built name down to the scan
-    return named.join(ranked, "name", "left")
+    return named.join(lists, "name", "left")
 
 
 def price_feed(
@@ -178,7 +181,8 @@ def price_feed(
     """
     served = served_zones(stores, zones)
     prices = current_prices(base, retail, served, products, min_date, currency, expected_products)
-    dated = validity(prices, ["source", "market_code", "product_code"], "start_date")
+    # sorted by product first, which tells most prices apart
+    dated = validity(prices, ["product_code", "market_code", "source"], "start_date")
     full = with_priority(dated, many_lists).select(
         "name",
         F.col("name").alias("external_id"),
@@ -193,7 +197,7 @@ def price_feed(
     )
     if known is None:
         return full
-    return delta(full, known_prices(known), ["name", "product_code", "start_date"], list(compare))
+    return delta(full, known_prices(known), ["product_code", "start_date", "name"], list(compare))
 
 
 def known_prices(dictionary: DataFrame) -> DataFrame:

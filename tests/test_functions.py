@@ -165,3 +165,12 @@ def test_signed_and_market(spark):
     df = spark.createDataFrame([("S1", "PL", 2, True), ("S2", "PL", 2, False)], "s string, c string, q int, r boolean")
     got = df.select(R.signed("q", F.col("r")), R.market_code("s", "c", ["S1"])).collect()
     assert [tuple(r) for r in got] == [(-2, "Eshop"), (2, "PL")]
+
+
+def test_dates_of_fixed_width_need_no_formatter(spark):
+    texts = ["2024-02-29", "2023-02-29", "0000-01-01", "2024-02-03 23:59:59", "2024-02-03 24:00:00", "2024-02-03 10:60:00", "31.12.2024", "31.11.2024", "01.01.0000", "2024-2-3", " 2024-02-03", None]
+    parsed = R.parse_date("s", R.DATE_FORMATS)
+    by_format = F.coalesce(*[F.try_to_date("s", f) for f in R.DATE_FORMATS])
+    assert column(spark, texts, parsed.cast("string")) == column(spark, texts, by_format.cast("string"))
+    plan = spark.createDataFrame([("x",)], "s string").select(parsed)._jdf.queryExecution().optimizedPlan().toString()
+    assert "gettimestamp" not in plan.lower()

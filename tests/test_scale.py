@@ -14,7 +14,7 @@ from retailprep.operators.delta import delta
 from retailprep.operators.enrich import exclude_value, keep_known, new_rows, since
 from retailprep.operators.keys import latest_by, sample_per_group
 from retailprep.operators.quality import blank_check, quality_report
-from retailprep.operators.temporal import asof_join, lowest_value
+from retailprep.operators.temporal import accumulate, asof_join, lowest_value
 from retailprep.operators.units import convert_units
 from retailprep.plans.price import price_feed
 from retailprep.plans.sales import sales_feed
@@ -206,3 +206,42 @@ def test_hot_conversion_group_is_split(spark):
         out = convert_units(stock, products, rules)
         assert "skewed" in final_plan(out)
         assert out.groupBy("status").count().collect() == [("converted", 200_000)]
+
+
+def test_history_and_snapshot_meet_in_one_shuffle(shuffled_prices):
+    spark, prices = shuffled_prices
+    plan = planned(accumulate(prices, prices, ["product", "name"], "day", "value", ["currency"]))
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert "Aggregate" not in plan
+
+
+def test_delta_of_days_and_numbers_does_not_sort_to_aggregate(shuffled_prices):
+    spark, prices = shuffled_prices
+    known = prices.unionByName(prices.withColumn("value", F.when(F.col("product") == "P3", F.lit(None)).otherwise(F.col("value"))))
+    out = delta(prices, known, ["product", "day", "name"], ["end_date", "value"])
+    assert "SortAggregate" not in planned(out)
+    # a version without a value is another one, unless there is none now either
+    assert {r["product"] for r in out.collect()} == {"P3"}
+    none = prices.withColumn("value", F.lit(None).cast("decimal(15,2)"))
+    assert delta(none, none.unionByName(none), ["product", "day", "name"], ["end_date", "value"]).isEmpty()
+    assert delta(none, prices, ["product", "day", "name"], ["value"]).count() == prices.count()
+
+
+def test_prices_are_not_shuffled_by_list(spark):
+    t = Frames(spark, SF_DIR)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        plan = planned(price_feed(t.base_raw, t.retail_raw, t.store_raw, t.sku_dictionary))
+    assert not re.search(r"Exchange hashpartitioning\(name#\d+, \d+\), ENSURE_REQUIREMENTS.*\n.*Project .*product_code", plan)
+    assert not re.search(r"SortMergeJoin \[name", plan)
+    # known products are looked up and prices are dated in one shuffle by the product
+    assert len(re.findall(r"Exchange hashpartitioning\(product_code#\d+, \d+\)", plan)) >= 1
+    assert not re.search(r"Exchange hashpartitioning\(product_code#\d+, market_code#\d+, source#\d+, \d+\)", plan)
+
+
+@pytest.fixture
+def shuffled_prices(spark):
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        yield spark, spark.range(60).selectExpr(
+            "concat('P', id % 20) AS product", "'L' AS name", "date_add(date'2024-01-01', cast(id div 20 AS int)) AS day",
+            "cast(id AS decimal(15,2)) AS value", "'PLN' AS currency", "cast(NULL AS date) AS end_date",
+        )
