@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -75,36 +75,29 @@ def asof_join(
     quotes on one day the smallest counts (lowest price first, NULL last); a
     NULL in the newest quote is not replaced by an older value.
 
-    Facts are not windowed.  The lookup runs over the distinct (key, day) pairs
-    of facts and quotes, so a key holds at most two rows per calendar day however
-    many facts it has, and the facts then meet it in an equi-join that cannot
-    multiply them and whose hot keys AQE splits.
+    Facts are not windowed, and are read and shuffled once.  Quotes are: the lowest
+    of a key and day is valid until the key's next one, so a key holds at most one
+    row per calendar day however many quotes it has.  Facts then meet the rows of
+    their key, of which at most one is valid on the day: the join cannot multiply
+    them, AQE splits its hot keys, and it compares a fact with one row per quoted day of its key.
     """
     keys = list(by)
-    usable = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in keys])
-    days = (
-        facts.select(*keys, F.col(fact_day).cast("date").alias("__day"))
-        .filter(usable & F.col("__day").isNotNull())
-        .distinct()
-        .select(*keys, "__day", F.lit(1).alias("__side"))
-    )
-    dated = quotes.select(*keys, F.col(quote_day).cast("date").alias("__day"), *columns)
-    best = lowest_value(
-        dated.filter(usable & F.col("__day").isNotNull()), [*keys, "__day"], columns[0], columns[1:]
-    )
-    # one struct per quote: a NULL inside it still makes it the newest quote
-    quote = F.struct(F.col("__day").alias(quote_day), *columns)
-    line = days.withColumn("__quote", F.lit(None)).unionByName(
-        best.select(*keys, "__day", F.lit(0).alias("__side"), quote.alias("__quote"))
-    )
-    upto = Window.partitionBy(*keys).orderBy("__day", "__side").rowsBetween(Window.unboundedPreceding, 0)
-    found = (
-        line.withColumn("__quote", F.last("__quote", ignorenulls=True).over(upto))
-        .filter(F.col("__side") == 1)
-        .select(*keys, "__day", "__quote")
+    usable = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (*keys, "__day")])
+    dated = quotes.select(*keys, F.col(quote_day).cast("date").alias("__day"), *columns).filter(usable)
+    best = lowest_value(dated, [*keys, "__day"], columns[0], columns[1:])
+    line = Window.partitionBy(*keys).orderBy("__day")
+    # Keys that come out of the window are new to Spark: it shuffles both sides for the join, which AQE then may split.
+    valid = best.select(
+        *[F.first(c).over(line.rowsBetween(Window.unboundedPreceding, 0)).alias(f"__key_{c}") for c in keys],
+        F.col("__day").alias("__from"),
+        F.lead("__day").over(line).alias("__until"),
+        *[F.col(c).alias(f"__quoted_{c}") for c in columns],
     )
-    joined = facts.withColumn("__day", F.col(fact_day).cast("date")).join(found, [*keys, "__day"], "left")
-    picked = [F.col(f"__quote.{c}").alias(c) for c in (quote_day, *columns)]
+    asked = facts.withColumn("__day", F.col(fact_day).cast("date"))
+    same = [F.col(c) == F.col(f"__key_{c}") for c in keys]
+    then = (F.col("__day") >= F.col("__from")) & (F.col("__until").isNull() | (F.col("__day") < F.col("__until")))
+    joined = asked.join(valid, reduce(lambda a, b: a & b, [*same, then]), "left")
+    picked = [F.col("__from").alias(quote_day), *[F.col(f"__quoted_{c}").alias(c) for c in columns]]
     return joined.select(*[F.col(c) for c in facts.columns], *picked)
 
 
@@ -129,6 +122,33 @@ def asof_window(
     return found.select(*[F.col(c) for c in facts.columns], *picked)
 
 
+def asof_windows(
+    facts: DataFrame, day: str, by: str, lists: Mapping[str, tuple[DataFrame, str, str]]
+) -> DataFrame:
+    """Facts with prices of several lists as of their ``day``, each by ``by`` and a column; in one shuffle by ``by``.
+
+    ``lists`` gives for each price column its quotes, which hold it and ``by``, that other
+    column and the date of the quote, and the names of the latter two.  The day is a date, or
+    an instant, on which quotes of its date count.  All rows of a value of ``by`` meet in a
+    task, as in ``asof_window``: for distinct rows with a bounded number of values.  Of several
+    quotes on one day the lowest counts, NULL last; a NULL in the newest one stays.
+    """
+    line = facts.withColumn("__side", F.lit(1))
+    for price, (quotes, column, quote_day) in lists.items():
+        usable = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in (by, column, day)])
+        dated = quotes.select(by, column, F.col(quote_day).cast("date").alias(day), price).filter(usable)
+        best = lowest_value(dated, [by, column, day], price)
+        # a struct: a NULL inside it still makes it the newest quote
+        best = best.select(by, column, day, F.lit(0).alias("__side"), F.struct(price).alias(f"__{price}"))
+        line = line.unionByName(best, allowMissingColumns=True)
+    line = line.repartition(by)
+    for price, (_, column, _) in lists.items():
+        upto = Window.partitionBy(by, column).orderBy(day, "__side").rowsBetween(Window.unboundedPreceding, 0)
+        line = line.withColumn(f"__{price}", F.last(f"__{price}", ignorenulls=True).over(upto))
+    found = line.filter(F.col("__side") == 1)
+    return found.select(*[F.col(c) for c in facts.columns], *[F.col(f"__{price}.{price}").alias(price) for price in lists])
+
+
 # Slices of the as-of join by instant: long enough to hold many rows of a usual key, short enough to cut a hot one.
 SLICE_SECONDS = 3600
 

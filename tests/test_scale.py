@@ -14,7 +14,7 @@ from retailprep.operators.delta import delta
 from retailprep.operators.enrich import exclude_value, keep_known, new_rows, since
 from retailprep.operators.keys import latest_by, sample_per_group
 from retailprep.operators.quality import blank_check, quality_report
-from retailprep.operators.temporal import accumulate, asof_join, lowest_value
+from retailprep.operators.temporal import accumulate, asof_join, asof_windows, lowest_value
 from retailprep.operators.units import convert_units
 from retailprep.plans.price import price_feed
 from retailprep.plans.sales import sales_feed
@@ -245,3 +245,45 @@ def shuffled_prices(spark):
             "concat('P', id % 20) AS product", "'L' AS name", "date_add(date'2024-01-01', cast(id div 20 AS int)) AS day",
             "cast(id AS decimal(15,2)) AS value", "'PLN' AS currency", "cast(NULL AS date) AS end_date",
         )
+
+
+def test_asof_join_reads_and_shuffles_facts_once(shuffled_prices):
+    spark, prices = shuffled_prices
+    facts = prices.select("product", "day", "currency")
+    plan = planned(asof_join(facts, prices.withColumnRenamed("day", "quoted"), ["product"], "day", "quoted", ["value"]))
+    assert plan.count("Range (") == 2
+    # facts for the join; quotes to find the lowest, to date them and for the join
+    assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_both_sales_prices_are_looked_up_in_one_shuffle(spark):
+    sold = spark.createDataFrame(
+        [("A", "X", "Y", d) for d in (date(2024, 1, 5), date(2024, 2, 5), None)] + [("A", None, "Y", date(2024, 2, 5)), (None, "X", "Y", date(2024, 2, 5))],
+        "product string, first string, second string, day date",
+    )
+    rows = [("A", "X", date(2024, 1, 6), 3), ("A", "X", date(2024, 1, 6), 2), ("A", None, date(2024, 1, 1), 9), ("A", "Z", date(2024, 1, 1), 9)]
+    base = spark.createDataFrame(rows, "product string, first string, start date, one int")
+    other = spark.createDataFrame([("A", "Y", date(2024, 1, 5), 7), ("A", "Y", date(2024, 2, 5), None)], "product string, second string, start date, two int")
+    lists = {"one": (base, "first", "start"), "two": (other, "second", "start")}
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        out = asof_windows(sold, "day", "product", lists)
+        assert planned(out).count("Exchange hashpartitioning") == 3
+    got = {(r["product"], r["first"], r["day"]): (r["one"], r["two"]) for r in out.collect()}
+    february = date(2024, 2, 5)
+    assert got == {
+        ("A", "X", date(2024, 1, 5)): (None, 7), ("A", "X", february): (2, None), ("A", "X", None): (None, None),
+        ("A", None, february): (None, None), (None, "X", february): (None, None),
+    }
+
+
+def test_written_snapshots_are_summed_up_once(spark, monkeypatch):
+    plans = []
+
+    def noted(df, *args, **options):
+        plans.append(planned(df))
+        write_feed(df, *args, **options)
+
+    monkeypatch.setattr("checks.io_queries.write_feed", noted)
+    assert not queries()["latest_snapshot"](spark, SF_DIR).isEmpty()
+    assert len(plans) == 3
+    assert not [p for p in plans if "Aggregate" in p]
