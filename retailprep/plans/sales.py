@@ -20,7 +20,7 @@ from ..operators.enrich import lookup_join
 from ..operators.keys import first_rows
 from ..operators.quality import Report
 from ..operators.schema import check_columns
-from ..operators.temporal import asof_window, price_fallback
+from ..operators.temporal import asof_windows, price_fallback
 from ..session import settle
 
 REQUIRED = ("store_code", "product_code", "sale_date", "quantity", "value")
@@ -37,20 +37,15 @@ def _zone_prices(sold: DataFrame, base: DataFrame, retail: DataFrame, audit: boo
     """Both prices per distinct product, pair of zones and day; with ``audit`` also whether the product has any price.
 
     Looking prices up here, not per sale, shuffles the sales once instead of
-    once per list.  What is distinct is written once: both lookups read it, not
-    the sales, and window it as it is: a pair of zones is a store's, so that a
-    product, zone and day have few rows.
+    once per list.  What is distinct is written once, not computed with the sales,
+    and windowed as it is, for both prices in one shuffle by the product: a pair of
+    zones is a store's, so that a product, zone and day have few rows.
     """
-    out = settle(sold.select(*PRICED_BY).distinct())
+    lists = {}
     for zone, quotes, price in (("first_price", base, "price_base"), ("actual_price", retail, "price_promo")):
-        day = f"{price}_date"
-        lists = quotes.select(
-            "product_code",
-            F.col("zone").alias(zone),
-            F.col("start_date").alias(day),
-            F.col("value").alias(price),
-        )
-        out = asof_window(out, lists, ["product_code", zone], "sale_date", day, [price])
+        columns = ["product_code", F.col("zone").alias(zone), "start_date", F.col("value").alias(price)]
+        lists[price] = (quotes.select(*columns), zone, "start_date")
+    out = asof_windows(settle(sold.select(*PRICED_BY).distinct()), "sale_date", "product_code", lists)
     extra = []
     if audit:
         listed = base.select("product_code").unionByName(retail.select("product_code"))
@@ -88,6 +83,8 @@ def sales_feed(
         ["store_code"],
         order,
     )
+    # Of a known size once it is written: stores are broadcast as long as Spark holds them for small enough.
+    zones = settle(zones.withColumnRenamed("store_code", "__store")).withColumnRenamed("__store", "store_code")
     text = {c for c, t in sales.dtypes if t == "string"}
     typed = {c: parse_decimal(c, 13, 2) if c in text else F.col(c).try_cast(MONEY) for c in ("quantity", "value")}
     if "sale_date" in text:
