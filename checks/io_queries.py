@@ -2,7 +2,7 @@
 
 from retailprep.operators.keys import sample_head, sample_per_group
 from retailprep.plans.price import price_output, price_totals
-from retailprep.session import scratch_path
+from retailprep.session import scratch_path, settle
 from retailprep.sources import file_manifest, optional, publish, read_feed, read_latest, write_feed
 from retailprep.sources.manifest import ALGORITHM, checksum
 from pyspark.sql import functions as F
@@ -24,7 +24,8 @@ def _(t):
 
 @query("latest_snapshot", with_clause("inventory_raw") + f"SELECT {INVENTORY} FROM inventory_raw")
 def _(t):
-    df = t.inventory_raw
+    # written three times, summed up once
+    df = settle(t.inventory_raw)
     folder = scratch_path(t.spark, "inventory")
     write_feed(df.filter("inventory_date IS NULL"), f"{folder}/inventory_2001_10_31.csv")
     write_feed(df, f"{folder}/inventory_2001_11_30.csv")
