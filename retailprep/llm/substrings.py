@@ -27,6 +27,7 @@ from functools import cmp_to_key
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,11 +41,15 @@ MOST_WINDOWS = 27
 HELD = 1 << 20
 # Units of one anchor that are sorted together; anchors with more are split.
 UNITS_OF_ANCHOR = 4096
+# Bytes of whole rows whose units are found together: what is made of them fits a processor's cache.
+RUN_BYTES = 1 << 16
 # Bytes of fragments sorted together, and suffixes held by one block of them.
-BUCKET_BYTES = 8 << 20
+BUCKET_BYTES = 1 << 20
 # Bytes of text whose units make up a bucket.
 TEXT_BYTES = 8 << 20
 BLOCK_SUFFIXES = 1 << 18
+# Bytes of texts sent on together once they are cut.
+SENT_BYTES = 16 << 20
 PERIOD = 32
 LAST = 2**63 - 1
 GONE, CHECK, SPLIT = 0, 1, 2
@@ -68,7 +73,7 @@ def units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int) ->
         return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     up, down = POWERS.get(n + 1)
     sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:n], out=sums[1:])
+    np.cumsum((data + np.uint64(1)) * up[:n], out=sums[1:])
     h = mixed((sums[gram:] - sums[:-gram]) * down[: n - gram + 1])
     low_bits = np.uint64((1 << 22) - 1)
     least_of = (h & ~low_bits) | np.arange(len(h), dtype=np.uint64)
@@ -78,42 +83,106 @@ def units(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, least: int) ->
         size *= 2
     if size < span:
         least_of = np.minimum(least_of[: len(h) - span + 1], least_of[span - size :])
-    owner = (least_of & low_bits).astype(np.int64)
-    row = np.repeat(np.arange(len(starts)), ends - starts)
-    at = np.arange(n - least + 1)
-    at = at[at + least <= ends[row[: n - least + 1]]]
-    if not len(at):
+    long = np.flatnonzero(ends - starts >= least)
+    if not len(long):
         return none, none, none, none, none.astype(np.uint64), none.astype(np.uint64)
-    owner = owner[at]
-    edge = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (at[1:] != at[:-1] + 1))))
-    low, high = at[edge], at[np.append(edge[1:], len(at)) - 1]
-    anchor = owner[edge]
+    # Windows begin in these ranges; a unit begins with each of them and where the anchor changes.
+    begin, end = starts[long], ends[long] - least + 1
+    step = np.zeros(n - least + 2, np.int8)
+    step[begin] += 1
+    step[end] -= 1
+    new = np.cumsum(step[:-1], dtype=np.int8).view(bool)
+    new[1:] &= least_of[1:] != least_of[:-1]
+    new[begin] = True
+    low = np.flatnonzero(new)
+    of = np.searchsorted(begin, low, "right") - 1
+    high = np.minimum(np.append(low[1:], n), end[of]) - 1
+    anchor = (least_of[low] & low_bits).astype(np.int64)
     unit = (sums[high + least] - sums[low]) * down[low]
     unit = mixed(unit + (anchor - low).astype(np.uint64) * SECOND + (high - low).astype(np.uint64) * THIRD)
-    return row[low], anchor, low, high, h[anchor], unit
+    return long[of], anchor, low, high, h[anchor], unit
+
+
+def unit_slices(data: np.ndarray, offsets: np.ndarray, first: int, last: int, least: int) -> Iterator[tuple]:
+    """(data, where it begins, units ...) of rows ``first`` to ``last``; a long row comes in several slices."""
+    lo, hi = int(offsets[first]), int(offsets[last])
+    if hi - lo <= 2 * SLICE_BYTES:
+        part = data[lo:hi]
+        yield part, 0, *units(part, offsets[first:last] - lo, offsets[first + 1 : last + 1] - lo, least)
+        return
+    for at in range(lo, hi, SLICE_BYTES):
+        part = data[at : min(hi, at + SLICE_BYTES + least - 1)]
+        yield part, at - lo, *units(part, np.zeros(1, np.int64), np.array([len(part)]), least)
 
 
 def unit_runs(column: pa.Array, least: int) -> Iterator[tuple]:
     """(data, first row, units ...) of slices of a binary column; long rows come in several."""
     data, offsets = flat(column)
-    for first, last in runs_of_rows(offsets):
-        lo, hi = int(offsets[first]), int(offsets[last])
-        if hi - lo <= 2 * SLICE_BYTES:
-            part = data[lo:hi]
-            yield part, first, 0, *units(part, offsets[first:last] - lo, offsets[first + 1 : last + 1] - lo, least)
-            continue
-        for at in range(lo, hi, SLICE_BYTES):
-            part = data[at : min(hi, at + SLICE_BYTES + least - 1)]
-            yield part, first, at - lo, *units(part, np.zeros(1, np.int64), np.array([len(part)]), least)
+    for first, last in runs_of_rows(offsets, RUN_BYTES):
+        for part, at, *found in unit_slices(data, offsets, first, last, least):
+            yield part, first, at, *found
+
+
+def lists_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The values of a list column and where those of each row begin and end; null is empty."""
+    sizes = pc.list_value_length(column).fill_null(0).to_numpy(zero_copy_only=False)
+    return column.flatten().to_numpy(zero_copy_only=False), np.concatenate(([0], np.cumsum(sizes)))
+
+
+def order_of(key: np.ndarray, *more: np.ndarray) -> np.ndarray:
+    """Rows in the order of unsigned keys, the first one first.
+
+    Sorted are the high bits of the first key with the row in their place of the
+    low ones, then by all keys those that share the former and are not equal.
+    """
+    bits = max(1, (len(key) - 1).bit_length())
+    low_bits = np.uint64((1 << bits) - 1)
+    rough = np.sort((key & ~low_bits) | np.arange(len(key), dtype=np.uint64))
+    order = (rough & low_bits).astype(np.int64)
+    rough >>= np.uint64(bits)
+    same = rough[1:] == rough[:-1]
+    tied = np.flatnonzero(same)
+    if not len(tied):
+        return order
+    one, next_one = order[tied], order[tied + 1]
+    differ = key[one] != key[next_one]
+    for other in more:
+        differ |= other[one] != other[next_one]
+    if differ.any():
+        group = np.cumsum(np.concatenate(([False], ~same)))
+        some = np.zeros(int(group[-1]) + 1, bool)
+        some[group[tied[differ]]] = True
+        some = some[group]
+        rows = order[some]
+        order[some] = rows[np.lexsort([k[rows] for k in (*more[::-1], key)] + [group[some]])]
+    return order
+
+
+def order_by(*columns: np.ndarray) -> np.ndarray:
+    """Rows in the order of columns of numbers from 0 on, equal rows in their own one; sorted as one number if they fit."""
+    n = len(columns[0])
+    widths = [int(c.max(initial=0)).bit_length() for c in columns]
+    bits = max(1, (n - 1).bit_length())
+    if sum(widths) + bits > 64:
+        return np.lexsort(columns[::-1])
+    key = np.zeros(n, np.uint64)
+    for column, width in zip(columns, widths, strict=True):
+        key = key << np.uint64(width) | column.astype(np.uint64)
+    key = key << np.uint64(bits) | np.arange(n, dtype=np.uint64)
+    key.sort()
+    return (key & np.uint64((1 << bits) - 1)).astype(np.int64)
 
 
 def first_of_each(key: np.ndarray, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Rows that hold the smallest place of their key, one for each key, and rows with a larger one."""
-    order = np.lexsort((place, key))
-    key, sorted_place = key[order], place[order]
+    order = order_of(key)
+    key, place = key[order], place[order]
     new = np.concatenate(([True], key[1:] != key[:-1]))
-    smallest = sorted_place[new][np.cumsum(new) - 1]
-    return order[new], order[sorted_place > smallest]
+    group = np.cumsum(new) - 1
+    smallest = np.minimum.reduceat(place, np.flatnonzero(new))[group]
+    least = np.flatnonzero(place == smallest)
+    one = np.concatenate(([True], group[least][1:] != group[least][:-1]))
+    return order[least[one]], order[place > smallest]
 
 
 SENT = "bucket int, done boolean, anchors binary, units binary, places binary"
@@ -131,7 +200,7 @@ def sent_units(least: int, buckets: int):
         out = []
         # Buckets by high bits of the anchor's hash, which is mixed anew: anchors have the least hashes of their windows,
         # so most of those begin with zeros.  32 bits of the hash itself tell anchors of a bucket apart.
-        bucket = ((mixed(hashes) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.int64)
+        bucket = ((mixed(hashes) >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)).astype(np.uint16 if buckets <= 1 << 16 else np.int64)
         short = hashes.astype(np.uint32)
         for done, some in ((False, keep), (True, gone)):
             some = some[np.argsort(bucket[some], kind="stable")]
@@ -207,6 +276,19 @@ def matched(units_of_anchor: int):
     return run
 
 
+def first_units(row: np.ndarray, unit: np.ndarray, of: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The first unit of each row ``of`` with one of ``names``, and which of these there is one for."""
+    known, code = np.unique(unit, return_inverse=True)
+    own = row * len(known) + code
+    order = np.argsort(own, kind="stable")
+    own = own[order]
+    where = np.minimum(np.searchsorted(known, names), len(known) - 1)
+    key = of * len(known) + where
+    at = np.minimum(np.searchsorted(own, key), len(own) - 1)
+    found = (known[where] == names) & (own[at] == key)
+    return order[at[found]], np.flatnonzero(found)
+
+
 FRAGMENT = "key long, place long, unit long, window int, windows int, lead int, data binary, mask long"
 
 
@@ -222,6 +304,12 @@ def fragments(least: int):
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(list(x), k) for x, k in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
 
+    def checked(key, place, unit, windows, lead, data) -> pa.RecordBatch:
+        n = len(data)
+        columns = [pa.array(key.view(np.int64)), pa.array(place), pa.array(unit.view(np.int64)), pa.array(np.zeros(n, np.int32))]
+        columns += [pa.array(windows.astype(np.int32)), pa.array(lead), pa.array(data, pa.binary()), pa.nulls(n, pa.int64())]
+        return pa.RecordBatch.from_arrays(columns, names=["key", "place", "unit", "window", "windows", "lead", "data", "mask"])
+
     def reduced(split: list[tuple]) -> list[tuple]:
         split.sort(key=lambda r: (r[6], r[1]))
         out, first = [], None
@@ -238,38 +326,30 @@ def fragments(least: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split: list[tuple] = []
         for batch in parts_of(batches):
-            places = batch.column("place").to_pylist()
-            wanted = [(np.array(u, np.int64).view(np.uint64), np.array(f, np.int32)) for u, f in zip(batch.column("units").to_pylist(), batch.column("fates").to_pylist(), strict=True)]
-            out: list[tuple] = []
+            place = batch.column("place").to_numpy()
+            (names, cuts), (fates, _) = (lists_of(batch.column(c)) for c in ("units", "fates"))
+            names = names.view(np.uint64)
             for data, first, _, row, anchor, low, high, hashes, unit in unit_runs(batch.column("data"), least):
+                if not len(row):
+                    continue
                 raw = data.tobytes()
-                cuts = np.searchsorted(row, np.arange(int(row[-1]) + 2 if len(row) else 0))
-                for i in range(len(cuts) - 1):
-                    a, b = cuts[i], cuts[i + 1]
-                    names, fates = wanted[first + i]
-                    if a == b or not len(names):
-                        continue
-                    mine, at = np.unique(unit[a:b], return_index=True)
-                    where = np.searchsorted(mine, names)
-                    ok = where < len(mine)
-                    ok[ok] = mine[where[ok]] == names[ok]
-                    for x, fate in zip((a + at[where[ok]]).tolist(), fates[ok].tolist(), strict=True):
-                        lo, hi, lead = int(low[x]), int(high[x]), int(anchor[x] - low[x])
-                        name = int(unit[x].astype(np.int64))
-                        if fate == CHECK:
-                            out.append((int(hashes[x].astype(np.int64)), places[first + i], name, 0, hi - lo + 1, lead, raw[lo : hi + least], None))
-                        else:
-                            for s in range(lo, hi + 1):
-                                window = raw[s : s + least]
-                                split.append((hash_of(window), places[first + i], name, s - lo, 1, 0, window, None))
-                if len(out) >= 4096:
-                    yield batch_of(out)
-                    out = []
-                if len(split) >= HELD // 8:
-                    yield batch_of(reduced(split))
-                    split = []
-            if out:
-                yield batch_of(out)
+                wanted = slice(cuts[first], cuts[first + int(row[-1]) + 1])
+                of = np.repeat(np.arange(int(row[-1]) + 1), np.diff(cuts[first : first + int(row[-1]) + 2]))
+                x, found = first_units(row, unit, of, names[wanted])
+                fate = fates[wanted][found]
+                some = x[fate == CHECK]
+                if len(some):
+                    lead = (anchor[some] - low[some]).astype(np.int32)
+                    text = [raw[lo:hi] for lo, hi in zip(low[some].tolist(), (high[some] + least).tolist(), strict=True)]
+                    yield checked(hashes[some], place[first + row[some]], unit[some], high[some] - low[some] + 1, lead, text)
+                for i in x[fate != CHECK].tolist():
+                    name, own = int(unit[i].astype(np.int64)), int(place[first + row[i]])
+                    for s in range(int(low[i]), int(high[i]) + 1):
+                        window = raw[s : s + least]
+                        split.append((hash_of(window), own, name, s - int(low[i]), 1, 0, window, None))
+                    if len(split) >= HELD // 8:
+                        yield batch_of(reduced(split))
+                        split = []
         if split:
             yield batch_of(reduced(split))
 
@@ -296,10 +376,11 @@ class CoverRanks:
 
     ``depth`` bytes at least decide; suffixes that agree in them share a rank.
     Ranks come from sorting the first ``period`` bytes and doubling from there:
-    a sample position plus the period is one again.
+    a sample position plus the period is one again.  Only positions that are
+    ``within`` are ranked, if given; the others come first.
     """
 
-    def __init__(self, text: np.ndarray, depth: int, period: int = PERIOD):
+    def __init__(self, text: np.ndarray, depth: int, period: int = PERIOD, within: np.ndarray | None = None):
         self.period = period
         cover = difference_cover(period)
         inside = np.zeros(period, bool)
@@ -310,31 +391,40 @@ class CoverRanks:
             for b in range(period):
                 self.shift[a, b] = next(d for d in range(period) if inside[(a + d) % period] and inside[(b + d) % period])
         sample = np.flatnonzero(inside[np.arange(len(text) - period) % period]) if len(text) > period else np.zeros(0, np.int64)
+        if within is not None:
+            sample = sample[within[sample]]
         rank = np.zeros(len(text) + period, np.int64)
         rank[sample] = dense([*words(text, sample, period)])
         reach = period
         while reach < depth:
             after = np.minimum(sample + reach, len(rank) - 1)
-            rank[sample] = dense([rank[sample], rank[after]])
+            rank[sample] = dense_pairs(rank[sample], rank[after])
             reach *= 2
         self.rank = rank
 
 
 def words(text: np.ndarray, starts: np.ndarray, size: int) -> list[np.ndarray]:
     """The ``size`` bytes from each start as numbers of eight bytes that sort like them."""
-    view = np.lib.stride_tricks.sliding_window_view(text, 8)
-    return [view[starts + at].copy().view(">u8").ravel().astype(np.uint64) for at in range(0, size, 8)]
+    view = np.ndarray((len(text) - 7,), ">u8", text, 0, (1,))
+    return [view[starts + at].astype(np.uint64) for at in range(0, size, 8)]
 
 
 def dense(keys: list[np.ndarray]) -> np.ndarray:
     """The rank of each row among the different rows, from 1."""
-    if not len(keys[0]):
-        return np.zeros(0, np.int64)
-    order = np.lexsort(keys[::-1])
+    return ranked(keys, order_of(*keys)) if len(keys[0]) else np.zeros(0, np.int64)
+
+
+def dense_pairs(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """``dense`` of two columns of ranks."""
+    return ranked([one, other], order_by(one, other)) if len(one) else np.zeros(0, np.int64)
+
+
+def ranked(keys: list[np.ndarray], order: np.ndarray) -> np.ndarray:
     new = np.zeros(len(order), bool)
     new[0] = True
     for key in keys:
-        new[1:] |= key[order][1:] != key[order][:-1]
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
     out = np.empty(len(order), np.int64)
     out[order] = np.cumsum(new)
     return out
@@ -363,7 +453,7 @@ def sorted_blocks(text: np.ndarray, starts: np.ndarray, ranks: CoverRanks, most:
         name = dense(words(text, some, ranks.period))
         residue = some % ranks.period
         key = ranks.rank[some + np.diagonal(ranks.shift)[residue]]
-        order = np.lexsort((key, residue, name))
+        order = order_by(name, residue, key)
         some, name, residue, key = some[order], name[order], residue[order], key[order]
         mixed_up = np.flatnonzero((name[1:] == name[:-1]) & (residue[1:] != residue[:-1]))
         for tie in np.unique(name[mixed_up]).tolist():
@@ -386,6 +476,19 @@ def merged(some: np.ndarray, residue: np.ndarray, key: np.ndarray, ranks: CoverR
     return np.concatenate([some[cuts[k] : cuts[k + 1]] for k in order])
 
 
+def unequal(text: np.ndarray, starts: np.ndarray, least: int) -> np.ndarray:
+    """Whether each of ``starts`` but the first has other ``least`` bytes than the one before it."""
+    if least < 8:
+        view = np.lib.stride_tricks.sliding_window_view(text, least)[starts]
+        return (view[1:] != view[:-1]).any(axis=1)
+    view = np.ndarray((len(text) - 7,), "<u8", text, 0, (1,))
+    out = np.zeros(len(starts) - 1, bool)
+    for at in (*range(0, least - 7, 8), least - 8):
+        part = view[starts + at]
+        out |= part[1:] != part[:-1]
+    return out
+
+
 def judged(rows: list[tuple], least: int) -> pa.RecordBatch | None:
     """(place, unit, mask): the windows of each fragment that also start in one of a smaller place."""
     # A fragment starts such that its anchor lies at a multiple of the period: equal windows share a residue.
@@ -402,16 +505,17 @@ def judged(rows: list[tuple], least: int) -> pa.RecordBatch | None:
     of = np.repeat(np.arange(len(rows)), count)
     start = np.repeat(base - (np.cumsum(count) - count), count) + np.arange(int(count.sum()))
     place = np.array([r[1] for r in rows])[of]
-    order_of = np.argsort(start, kind="stable")
-    ranks = CoverRanks(text, least)
-    view = np.lib.stride_tricks.sliding_window_view(text, least)
+    within = np.zeros(len(text), bool)
+    within[np.repeat(base - begin, size) + np.arange(len(data))] = True
+    ranks = CoverRanks(text, least, within=within)
+    # Fragments follow each other, and so do their windows.
+    number = np.zeros(len(text), np.int64)
+    number[start] = np.arange(len(start))
     gone = np.zeros(len(start), bool)
-    for block in sorted_blocks(text, start[order_of], ranks):
-        index = order_of[np.searchsorted(start[order_of], block)]
+    for block in sorted_blocks(text, start, ranks):
+        index = number[block]
         new = np.ones(len(block), bool)
-        for at in range(1, len(block), 1 << 16):
-            to = min(len(block), at + (1 << 16))
-            new[at:to] = (view[block[at:to]] != view[block[at - 1 : to - 1]]).any(axis=1)
+        new[1:] = unequal(text, block, least)
         smallest = np.minimum.reduceat(place[index], np.flatnonzero(new))[np.cumsum(new) - 1]
         gone[index] = place[index] > smallest
     if not gone.any():
@@ -434,12 +538,13 @@ def sorted_buckets(least: int, bucket_bytes: int):
         size, last = 0, None
         names = ["key", "place", "unit", "window", "windows", "lead", "data", "mask"]
         for batch in batches:
-            told = [r for r in zip(*(batch.column(c).to_pylist() for c in names), strict=True) if r[7] is not None]
+            rows = list(zip(*(batch.column(c).to_pylist() for c in names), strict=True))
+            told = [r for r in rows if r[7] is not None]
             if told:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[k] for r in told], pa.int64()) for k in (1, 2, 7)], names=["place", "unit", "mask"]
                 )
-            for r in zip(*(batch.column(c).to_pylist() for c in names), strict=True):
+            for r in rows:
                 if r[7] is not None:
                     continue
                 if size >= bucket_bytes and r[0] != last:
@@ -454,81 +559,87 @@ def sorted_buckets(least: int, bucket_bytes: int):
     return run
 
 
-def whole_characters(raw: np.ndarray, inside: np.ndarray) -> np.ndarray:
-    """``inside`` without the bytes of UTF-8 characters that are not inside whole."""
-    begins = np.flatnonzero((raw & 0xC0) != 0x80)
-    whole = np.minimum.reduceat(inside, begins)
-    return np.repeat(whole, np.diff(np.append(begins, len(raw))))
+def whole_characters(raw: np.ndarray, inside: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """``inside`` without the bytes of UTF-8 characters that are not inside whole; rows begin at ``starts``."""
+    first = (raw & 0xC0) != 0x80
+    first[starts[starts < len(raw)]] = True
+    begins = np.flatnonzero(first)
+    if not len(begins):
+        return inside
+    return np.repeat(np.logical_and.reduceat(inside, begins), np.diff(np.append(begins, len(raw))))
 
 
 def cut_out(least: int, by_characters: bool):
     """(kept, spans) of each text and the masks of its units."""
 
+    def cut(data: np.ndarray, offsets: np.ndarray, first: int, last: int, names: np.ndarray, masks: np.ndarray, cuts: np.ndarray) -> tuple:
+        """(kept bytes, how many of each row, begins and ends of spans, how many of each row) of a run of rows."""
+        lo, hi = int(offsets[first]), int(offsets[last])
+        raw, starts = data[lo:hi], offsets[first : last + 1] - lo
+        wanted = slice(cuts[first], cuts[last])
+        if wanted.start == wanted.stop:
+            none = np.zeros(0, np.int64)
+            return raw, np.diff(starts), none, none, np.zeros(last - first, np.int64)
+        of = np.repeat(np.arange(last - first), np.diff(cuts[first : last + 1]))
+        change = np.zeros(hi - lo + 1, np.int32)
+        for _, shift, row, _, low, high, _, unit in unit_slices(data, offsets, first, last, least):
+            begins = windows_gone(row, unit, low, high, of, names[wanted], masks[wanted]) + shift
+            # Slices of a row have no windows in common.
+            change[begins] += 1
+            change[begins + least] -= 1
+        gone = np.cumsum(change[:-1]) > 0
+        if by_characters:
+            gone = whole_characters(raw, gone, starts[:-1])
+        edge = np.zeros(hi - lo + 1, bool)
+        edge[starts] = True
+        begin = gone.copy()
+        begin[1:] &= ~gone[:-1] | edge[1:-1]
+        end = gone.copy()
+        end[:-1] &= ~gone[1:] | edge[1:-1]
+        begin, end = np.flatnonzero(begin), np.flatnonzero(end) + 1
+        row = np.searchsorted(starts, begin, "right") - 1
+        lost = np.bincount(row, weights=end - begin, minlength=last - first).astype(np.int64)
+        return raw[~gone], np.diff(starts) - lost, begin - starts[row], end - starts[row], np.bincount(row, minlength=last - first)
+
+    def batch_of(row_id: pa.Array, found: list[tuple]) -> pa.RecordBatch:
+        kept, sizes, begins, ends, counts = (np.concatenate(x) for x in zip(*found, strict=True))
+        ends_of = np.concatenate(([0], np.cumsum(sizes)))
+        data = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(ends_of.astype(np.int64)), pa.py_buffer(kept)]).cast(pa.binary())
+        spans = pa.StructArray.from_arrays([pa.array(x.astype(np.int64)) for x in (begins, ends)], names=["begin", "end"])
+        spans = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(counts))), pa.int32()), spans)
+        return pa.RecordBatch.from_arrays([row_id, data, spans], names=["row_id", "kept", "spans"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in parts_of(batches):
-            n = batch.num_rows
-            names, masks = batch.column("units").to_pylist(), batch.column("masks").to_pylist()
-            cover: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
-            some = np.array([bool(x) for x in names], bool)
-            if some.any():
-                for _, first, shift, row, _, low, high, _, unit in unit_runs(batch.column("data"), least):
-                    base = row_starts(batch.column("data"), first, row)
-                    cuts = np.searchsorted(row, np.arange(int(row[-1]) + 2 if len(row) else 0))
-                    for i in range(len(cuts) - 1):
-                        if cuts[i] == cuts[i + 1] or not some[first + i]:
-                            continue
-                        part = slice(cuts[i], cuts[i + 1])
-                        found = windows_gone(unit[part], low[part], high[part], names[first + i], masks[first + i])
-                        cover.setdefault(first + i, []).append(found + (shift - base[i]))
-            kept, begins, ends, sizes = [], [], [], [0]
-            for i, value in enumerate(batch.column("data")):
-                raw = value.as_py() or b""
-                starts = np.concatenate(cover[i]) if i in cover else np.zeros(0, np.int64)
-                if not len(starts):
-                    kept.append(raw)
-                    sizes.append(sizes[-1])
-                    continue
-                change = np.bincount(starts, minlength=len(raw) + 1) - np.bincount(starts + least, minlength=len(raw) + 1)
-                gone = (np.cumsum(change)[:-1] > 0).astype(np.int8)
-                if by_characters:
-                    gone = whole_characters(np.frombuffer(raw, np.uint8), gone)
-                inside = np.concatenate(([0], gone, [0])).astype(np.int8)
-                begin, end = np.flatnonzero(np.diff(inside) == 1), np.flatnonzero(np.diff(inside) == -1)
-                kept.append(np.frombuffer(raw, np.uint8)[gone == 0].tobytes())
-                begins.append(begin)
-                ends.append(end)
-                sizes.append(sizes[-1] + len(begin))
-            spans = pa.ListArray.from_arrays(
-                pa.array(sizes, pa.int32()),
-                pa.StructArray.from_arrays(
-                    [pa.array(np.concatenate(x) if x else np.zeros(0, np.int64), pa.int64()) for x in (begins, ends)], names=["begin", "end"]
-                ),
-            )
-            if n:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("row_id"), pa.array(kept, pa.binary()), spans], names=["row_id", "kept", "spans"]
-                )
+            data, offsets = flat(batch.column("data"))
+            (names, cuts), (masks, _) = (lists_of(batch.column(c)) for c in ("units", "masks"))
+            names, found, begun = names.view(np.uint64), [], 0
+            for first, last in runs_of_rows(offsets, RUN_BYTES):
+                found.append(cut(data, offsets, first, last, names, masks, cuts))
+                if offsets[last] - offsets[begun] >= SENT_BYTES or last == batch.num_rows:
+                    yield batch_of(batch.column("row_id").slice(begun, last - begun), found)
+                    found, begun = [], last
 
     return run
 
 
-def row_starts(column: pa.Array, first: int, row: np.ndarray) -> np.ndarray:
-    """Where the rows of a run begin in its data."""
-    _, offsets = flat(column)
-    count = int(row[-1]) + 1 if len(row) else 0
-    return offsets[first : first + count] - offsets[first]
-
-
-def windows_gone(unit: np.ndarray, low: np.ndarray, high: np.ndarray, names: list[int], masks: list[int]) -> np.ndarray:
-    """Starts of the windows that go, by the masks of their units."""
-    name = np.array(names, np.int64).view(np.uint64)
-    order = np.argsort(name, kind="stable")
-    name, mask = name[order], np.array(masks, np.int64)[order]
-    new = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
-    name, mask = name[new], np.bitwise_or.reduceat(mask, new)
-    where = np.minimum(np.searchsorted(name, unit), len(name) - 1)
-    hit = name[where] == unit
-    low, high, mask = low[hit], high[hit], mask[where[hit]]
+def windows_gone(
+    row: np.ndarray, unit: np.ndarray, low: np.ndarray, high: np.ndarray, of: np.ndarray, names: np.ndarray, masks: np.ndarray
+) -> np.ndarray:
+    """Starts of the windows that go, by the masks of units ``names`` of the rows ``of``."""
+    if not len(unit):
+        return np.zeros(0, np.int64)
+    known, code = np.unique(names, return_inverse=True)
+    key = of * len(known) + code
+    order = np.argsort(key, kind="stable")
+    key, mask = key[order], masks[order]
+    new = np.flatnonzero(np.concatenate(([True], key[1:] != key[:-1])))
+    key, mask = key[new], np.bitwise_or.reduceat(mask, new)
+    where = np.minimum(np.searchsorted(known, unit), len(known) - 1)
+    own = row * len(known) + where
+    at = np.minimum(np.searchsorted(key, own), len(key) - 1)
+    hit = (known[where] == unit) & (key[at] == own)
+    low, high, mask = low[hit], high[hit], mask[at[hit]]
     count = high - low + 1
     index = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
     gone = (np.repeat(mask, count) >> index) & 1 == 1

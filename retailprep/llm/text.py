@@ -20,8 +20,10 @@ THIRD = np.uint64(0x9FB21C651E98DF25)
 def mixed(h: np.ndarray) -> np.ndarray:
     """Spread what differs in any bit over all 64."""
     h = (h ^ (h >> np.uint64(32))) * MIX
-    h = (h ^ (h >> np.uint64(29))) * MIX
-    return h ^ (h >> np.uint64(32))
+    h ^= h >> np.uint64(29)
+    h *= MIX
+    h ^= h >> np.uint64(32)
+    return h
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
